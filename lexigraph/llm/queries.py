@@ -7,7 +7,10 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.links import anchors, attribute
+from ..operators.nested import sense_texts
 from ..session import table
+from .canonical import list_forms, map_to_list, plain
 from .encode import encode
 from .looks import ALIKE, IGNORABLE, look_alikes, look_form
 from .mix import mix, shares, sized, supply
@@ -19,6 +22,42 @@ LIMIT, OVERLAP = 512, 64
 SCHEDULE = {"glossary": [(0.0, 1.5), (1.0, 0.5)], "responsum": [(0.0, 0.5), (1.0, 1.5)], "lecture": [(0.0, 0.5), (0.5, 1.0), (1.0, 1.5)]}
 
 
+#: The groups of works that are cited; words before a citation; the place within a work at its end.
+WORKS = ("talmudic_tractates", "biblical_books", "midrashic_rabbinic")
+BEFORE = r"^[(\s]*(?:(?:cmp|comp|cf|bab|talm|mishn|tract|see|in|y|v)(?:\.\s*|\s+))*"
+PLACE = r"(?:[\s,;.]+(?:(?:fol|col|ch|p)\.?\s*)?(?:\d+\s*:\s*\d+|\d+\s*[ab]?|[ivxlc]+\s*,\s*\d+)(?:\s*bot\.?)?)+[\s.)]*$"
+
+
+# p4
+
+
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All citations: ``ref_no``, ``cited`` (the text as typed) and ``work`` (what names the work in it)."""
+    held = sense_texts(table(spark, sf_dir, "entries"), "c", "seq", containing="ref-link")
+    link = held.select(F.explode(F.flatten(F.transform("texts", anchors))).alias("link")).where(F.contains("link", F.lit("ref-link")))
+    link = link.where(F.regexp_like(attribute(F.col("link"), "class"), F.lit(r"(^|\s)ref-link(\s|$)")))
+    cited = link.select(F.try_to_number(F.regexp_extract(attribute(F.col("link"), "href"), r"(\d+)\s*$", 1), F.lit("9" * 18)).cast("bigint").alias("ref_no"), F.regexp_replace("link", "<[^>]*>", "").alias("cited"))
+    work = F.regexp_replace(F.regexp_replace(plain(F.col("cited")), BEFORE, ""), PLACE, "")
+    return cited.where("ref_no is not null").withColumn("work", F.regexp_replace(work, r"^[(\s]+|[.)\s]+$", ""))
+
+
+def _mapped(cited: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    works = table(spark, sf_dir, "lookup").where(F.col("grp").isin(*WORKS))
+    return map_to_list(cited, "work", list_forms(works, "value", "key"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cited = citations(spark, sf_dir).select("ref_no", "work").distinct()
+    return cited.join(_mapped(cited, spark, sf_dir).select(F.col("value").alias("work"), F.col("target").alias("value")), "work").select("ref_no", "value").distinct()
+
+
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reported: the citations of works not listed, by what they name."""
+    cited = citations(spark, sf_dir).select("ref_no", "work").distinct()
+    mapped = _mapped(cited, spark, sf_dir).select(F.col("value").alias("work"))
+    return cited.join(mapped, "work", "left_anti").groupBy("work").agg(F.count("*").alias("citations"))
+
+
 # p5
 
 
@@ -85,10 +124,11 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that came out as more than one piece."""
-    return p8_pieces(spark, sf_dir).where("piece_no = 1").select("doc_id")
+    pieces = split_texts(table(spark, sf_dir, "documents"), "text", "doc_id", limit=LIMIT, overlap=OVERLAP, recount=False)
+    return pieces.where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_forms, p6_ids, p7_found, p7_mix, p7_shares, p8_found, p8_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_unmatched, p5_found, p5_forms, p6_ids, p7_found, p7_mix, p7_shares, p8_found, p8_pieces)}
 
 _FORMS = f"WITH f AS (SELECT seq, hw, {_forms_sql('hw')} AS form FROM entries)"
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import BLANK, Encoded, Vocabulary, _run
+from .encode import BLANK, Encoded, Vocabulary, _run, count_tokens
 
 #: Signs that end a sentence, and signs that may follow them.
 ENDERS, CLOSERS = ".!?…׃؟。！？", "\"'”’)]»״׳"
@@ -59,9 +59,10 @@ def cutting_pattern(limit: int, overlap: int) -> str:
     return f"^{part(limit)}|{part(limit - overlap)}"
 
 
-def split_texts(df: DataFrame, text_col: str, *keep: str, limit: int = 512, overlap: int = 64, path: str | None = None) -> DataFrame:
-    """The pieces of every text: ``keep``, ``piece_no`` (from 0), ``text``, ``n_tokens`` (at most ``limit``), ``overlap``
-    (tokens repeated from the piece before) and ``n_pieces``.
+def split_texts(df: DataFrame, text_col: str, *keep: str, limit: int = 512, overlap: int = 64, path: str | None = None, recount: bool = True) -> DataFrame:
+    """The pieces of every text: ``keep``, ``piece_no`` (from 0), ``overlap`` (tokens of the text repeated from the piece
+    before), ``n_pieces``, ``text`` and ``n_tokens`` (at most ``limit``): those of the piece encoded by itself, or without
+    ``recount`` those it has in the text, which are one more where a piece ends in several line ends.
 
     A piece ends at the strongest boundary of the further half of its room, else at any word end, else between characters.
     It begins ``overlap`` tokens before that end of the piece before, or at the first word begin after that point, if one
@@ -101,4 +102,8 @@ def split_texts(df: DataFrame, text_col: str, *keep: str, limit: int = 512, over
     at = lambda i: F.when(i == 0, 0).otherwise(F.element_at("__ends", F.greatest(i, F.lit(1))))
     raw = F.substring(F.col("__text").cast("binary"), at(F.col("x.s")) + 1, at(F.col("x.e")) - at(F.col("x.s"))).cast("string")
     text = F.when(F.col("n_pieces") == 1, F.col("__text")).otherwise(raw)
-    return one.select(*keep, "piece_no", text.alias("text"), (F.col("x.e") - F.col("x.s")).cast("bigint").alias("n_tokens"), (F.col("x.c") - F.col("x.s")).cast("bigint").alias("overlap"), "n_pieces")
+    pieces = one.select(*keep, "piece_no", (F.col("x.c") - F.col("x.s")).cast("bigint").alias("overlap"), "n_pieces", text.alias("text"), (F.col("x.e") - F.col("x.s")).cast("bigint").alias("n_tokens"))
+    if not recount:
+        return pieces
+    again = pieces.drop("n_tokens").withColumn("__piece", F.col("text"))
+    return count_tokens(again, "__piece", *keep, "piece_no", "overlap", "n_pieces", "text", path=path)
