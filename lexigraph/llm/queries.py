@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.links import anchors, attribute
 from ..operators.nested import sense_texts
-from ..session import table
+from ..session import cut, table
 from .canonical import list_forms, map_to_list, plain
 from .encode import encode
 from .looks import ALIKE, IGNORABLE, look_alikes, look_form
@@ -47,13 +47,13 @@ def _mapped(cited: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cited = citations(spark, sf_dir).select("ref_no", "work").distinct()
+    cited = cut(citations(spark, sf_dir).select("ref_no", "work").distinct())
     return cited.join(_mapped(cited, spark, sf_dir).select(F.col("value").alias("work"), F.col("target").alias("value")), "work").select("ref_no", "value").distinct()
 
 
 def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported: the citations of works not listed, by what they name."""
-    cited = citations(spark, sf_dir).select("ref_no", "work").distinct()
+    cited = cut(citations(spark, sf_dir).select("ref_no", "work").distinct())
     mapped = _mapped(cited, spark, sf_dir).select(F.col("value").alias("work"))
     return cited.join(mapped, "work", "left_anti").groupBy("work").agg(F.count("*").alias("citations"))
 
