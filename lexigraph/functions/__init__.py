@@ -1 +1 @@
-
+"""Built-in expressions used by the operators."""

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: White space of any kind, as a Java and RE2 character class (with the byte order mark and the zero-width space).
 WS = r"\s\x{000B}\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 
+#: The white space of a script's ``\\s`` and ``trim``, which reference strings and queries are read by.
+JS_WS = r"\t\n\x{000B}\x{000C}\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+
 #: Final Hebrew letters and their ordinary ones.
 FINALS, ORDINARY = "ךםןףץ", "כמנפצ"
 
@@ -55,7 +58,7 @@ def hebrew_letters(c: Column) -> Column:
 
 def normalize_reference(c: Column) -> Column:
     """Lower case, no full stops, runs of white space as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.replace(F.lower(c), F.lit("."), F.lit("")), f"[{WS}]+", " "))
+    return F.trim(F.regexp_replace(F.replace(F.lower(c), F.lit("."), F.lit("")), f"[{JS_WS}]+", " "))
 
 
 def read_code(c: Column, *known: str) -> Column:

@@ -247,7 +247,7 @@ def _senses(x: Index, text: bool) -> dict[str, list]:
     in_grammar = (x.parent >= 0) & grammar[x.parent] if n else grammar
     forms = in_grammar & (x.key == FORMS)
     alone = np.flatnonzero(forms & (x.kind == _QUOTE))
-    listed = np.flatnonzero((x.parent >= 0) & (x.kind == _QUOTE) & (forms[x.parent] if n else False))
+    listed = np.flatnonzero((x.parent >= 0) & (x.kind == _QUOTE) & ((forms & (x.kind == _OPEN_ARR))[x.parent] if n else False))
     form = np.concatenate([alone, listed])
     owner = np.concatenate([x.parent[x.parent[alone]], x.parent[x.parent[x.parent[listed]]]]) if n else form
     form_at = np.concatenate([np.zeros(len(alone), np.int64), x.at[listed]])
