@@ -108,14 +108,13 @@ def map_to_list(values: DataFrame, value_col: str, forms: DataFrame, similarity:
     often = pairs.groupBy("pair").agg(F.count("*").alias("n"))
     sets = pairs.join(often, "pair").groupBy("side", "said").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("set"))
     size = F.size("set")
-    prefix = sets.withColumn("keep", size - F.ceil(size * F.lit(similarity)).cast("int") + 1)
-    prefix = prefix.select("side", "said", "set", F.posexplode(F.slice("set", F.lit(1), F.col("keep"))).alias("i", "token"))
-    side = lambda s, x: prefix.where(F.col("side") == s).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("said", "set", "i")))
-    la, lb = F.size("set_a"), F.size("set_b")
+    prefix = sets.select("side", "said", size.alias("n"), F.posexplode(F.slice("set", F.lit(1), size - F.ceil(size * F.lit(similarity)).cast("int") + 1)).alias("i", "token"))
+    side = lambda s, x: prefix.where(F.col("side") == s).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("said", "n", "i")))
+    la, lb = F.col("n_a"), F.col("n_b")
     least = F.ceil((la + lb) * F.lit(similarity / (1 + similarity)))
     near = (la >= lb * similarity) & (lb >= la * similarity) & (1 + F.least(la - F.col("i_a") - 1, lb - F.col("i_b") - 1) + F.least("i_a", "i_b") >= least)
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    found = side(0, "a").join(side(1, "b"), "token").where(near).select("said_a", "said_b", "set_a", "set_b").dropDuplicates(["said_a", "said_b"])
+    found = side(0, "a").join(side(1, "b"), "token").where(near).select("said_a", "said_b", "n_a", "n_b").distinct()
+    common = F.size(F.array_intersect(_pairs(F.col("said_a")), _pairs(F.col("said_b"))))
     found = found.withColumn("jaccard", common / (la + lb - common)).where(F.col("jaccard") >= similarity).select("said_a", "said_b", "jaccard")
 
     # The exact decision for the candidates.
