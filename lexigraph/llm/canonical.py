@@ -108,6 +108,8 @@ def map_to_list(values: DataFrame, value_col: str, forms: DataFrame, similarity:
     often = pairs.groupBy("pair").agg(F.count("*").alias("n"))
     sets = pairs.join(often, "pair").groupBy("side", "said").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("set"))
     size = F.size("set")
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = sets.repartition(parts, "said")  # few bytes but much to compute: spread by number, not by size
     prefix = sets.select("side", "said", size.alias("n"), F.posexplode(F.slice("set", F.lit(1), size - F.ceil(size * F.lit(similarity)).cast("int") + 1)).alias("i", "token"))
     side = lambda s, x: prefix.where(F.col("side") == s).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("said", "n", "i")))
     la, lb = F.col("n_a"), F.col("n_b")
@@ -118,6 +120,7 @@ def map_to_list(values: DataFrame, value_col: str, forms: DataFrame, similarity:
     found = found.withColumn("jaccard", common / (la + lb - common)).where(F.col("jaccard") >= similarity).select("said_a", "said_b", "jaccard")
 
     # The exact decision for the candidates.
+    found = found.repartition(parts, "said_a", "said_b")
     rows = found.join(typed.withColumnRenamed("said", "said_a"), "said_a").join(known.select("form", "target", "exact", F.col("text").alias("text_b"), F.col("spelt").alias("spelt_b"), F.col("said").alias("said_b")), "said_b")
 
     def compared(x: Column, y: Column) -> tuple[Column, Column]:
