@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Bytes of JSON text that are indexed at once.
 CHUNK = 2_000_000
 
@@ -326,6 +328,7 @@ def flatten_senses(df: DataFrame, json_col: str | Column, *keep: str, text: bool
     names = [*_LINKS.names, *(_TEXTS.names if text else [])]
     out_fields = [pa.field(prefix + f.name, f.type) for f in [*_LINKS, *(_TEXTS if text else [])]]
     src = df.select(*keep, (F.col(json_col) if isinstance(json_col, str) else json_col).cast("string").alias("__json"))
+    src = spread(src)
     spark_types = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), *(f"`{f.name}` {'bigint' if f.type == pa.int64() else 'string'}" for f in out_fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +352,7 @@ def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out:
 
     Reads the sense trees as ``flatten_senses`` does; unreadable trees, and trees without such a definition, give no row.
     """
-    src = df.select(*keep, F.col(json_col).cast("string").alias("__json"))
+    src = spread(df.select(*keep, F.col(json_col).cast("string").alias("__json")))
     needle = containing.lower().encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores before heavy work on each row: a plain scan of fewer than half as many splits as there are cores
+    (one small file of one row group) is dealt out; anything else stays as it is, so large inputs are not shuffled."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":  # it holds a shuffle already
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < plan.execute().getNumPartitions() * 2 < cores else df
+
+
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` is proven to hold at most ``max_rows`` rows; reads no more than that many plus one."""
     return df.limit(max_rows + 1).count() <= max_rows
