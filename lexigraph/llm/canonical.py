@@ -90,7 +90,7 @@ def _pairs(c: Column) -> Column:
 def map_to_list(values: DataFrame, value_col: str, forms: DataFrame, similarity: float = 0.25, edits: float = 0.45, word_edits: float = 0.5) -> DataFrame:
     """Of each distinct text in ``value_col`` the closest form: ``value, target, form, jaccard, distance``.
 
-    ``forms``: ``form, target, exact``. A pair counts if the Jaccard similarity of its letter pairs is at least ``similarity``
+    ``forms``: ``form, target, exact`` (exact forms are joined at a similarity of 1). A pair counts if the Jaccard similarity of its letter pairs is at least ``similarity``
     and either its letters are equal or, for a form that need not be met exactly, at most ``edits`` of the longer text are
     edited and at most ``word_edits`` of each word (two letters at least); half of ``edits`` where the number of words differs. Words are compared as
     spelt and by sound, and the better counts. The form with equal letters wins, then the smallest distance, the greatest similarity, the least target.
@@ -101,23 +101,25 @@ def map_to_list(values: DataFrame, value_col: str, forms: DataFrame, similarity:
     typed = values.select(F.col(value_col).alias("value")).where("value is not null").distinct()
     typed = typed.select("value", letters(plain(F.col("value"))).alias("text"), words(plain(F.col("value"))).alias("spelt"), sound(plain(F.col("value"))).alias("said")).where("said <> ''")
     known = forms.select("form", "target", "exact", letters(F.col("form")).alias("text"), words(F.col("form")).alias("spelt"), sound(F.col("form")).alias("said")).where("said <> ''")
-    sounds = cut(typed.select("said", F.lit(0).alias("side")).unionByName(known.select("said", F.lit(1).alias("side"))).distinct())
+    # A form that must be met exactly needs equal sets, another the given similarity.
+    need = F.when(F.bool_and("exact"), 1.0).otherwise(similarity)
+    sounds = cut(typed.select(F.lit(0).alias("side"), "said", F.lit(similarity).alias("need")).distinct().unionByName(known.groupBy("said").agg(need.alias("need")).withColumn("side", F.lit(1))))
 
     # Sets of letter pairs, each pair as its rank from rare to frequent.
-    pairs = sounds.select("side", "said", F.explode(_pairs(F.col("said"))).alias("pair"))
+    pairs = sounds.select("side", "said", "need", F.explode(_pairs(F.col("said"))).alias("pair"))
     often = pairs.groupBy("pair").agg(F.count("*").alias("n"))
-    sets = pairs.join(often, "pair").groupBy("side", "said").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("set"))
-    size = F.size("set")
+    sets = pairs.join(often, "pair").groupBy("side", "said", "need").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("set"))
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = sets.repartition(parts, "said")  # few bytes but much to compute: spread by number, not by size
-    prefix = sets.select("side", "said", size.alias("n"), F.posexplode(F.slice("set", F.lit(1), size - F.ceil(size * F.lit(similarity)).cast("int") + 1)).alias("i", "token"))
-    side = lambda s, x: prefix.where(F.col("side") == s).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("said", "n", "i")))
-    la, lb = F.col("n_a"), F.col("n_b")
-    least = F.ceil((la + lb) * F.lit(similarity / (1 + similarity)))
-    near = (la >= lb * similarity) & (lb >= la * similarity) & (1 + F.least(la - F.col("i_a") - 1, lb - F.col("i_b") - 1) + F.least("i_a", "i_b") >= least)
-    found = side(0, "a").join(side(1, "b"), "token").where(near).select("said_a", "said_b", "n_a", "n_b").distinct()
+    size = F.size("set")
+    prefix = sets.select("side", "said", "need", size.alias("n"), F.posexplode(F.slice("set", F.lit(1), size - F.ceil(size * F.col("need")).cast("int") + 1)).alias("i", "token"))
+    side = lambda s, x: prefix.where(F.col("side") == s).select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("said", "need", "n", "i")))
+    la, lb, least = F.col("n_a"), F.col("n_b"), F.col("need_b")
+    shared = F.ceil((la + lb) * least / (1 + least))
+    near = (la >= lb * least) & (lb >= la * least) & (1 + F.least(la - F.col("i_a") - 1, lb - F.col("i_b") - 1) + F.least("i_a", "i_b") >= shared)
+    found = side(0, "a").join(side(1, "b"), "token").where(near).select("said_a", "said_b", "need_b", "n_a", "n_b").distinct()
     common = F.size(F.array_intersect(_pairs(F.col("said_a")), _pairs(F.col("said_b"))))
-    found = found.withColumn("jaccard", common / (la + lb - common)).where(F.col("jaccard") >= similarity).select("said_a", "said_b", "jaccard")
+    found = found.withColumn("jaccard", common / (la + lb - common)).where(F.col("jaccard") >= least).select("said_a", "said_b", "jaccard")
 
     # The exact decision for the candidates.
     found = found.repartition(parts, "said_a", "said_b")

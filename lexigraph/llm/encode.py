@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.nested import chunks
-from ..session import tokenizer_dir
+from ..session import spread, tokenizer_dir
 
 #: Bytes of text that are encoded at once, and distinct merged pre-tokens that a worker remembers.
 CHUNK, MEMO = 2_000_000, 1 << 17
@@ -248,7 +248,7 @@ class Encoded:
 def _run(df: DataFrame, text_col: str, keep: tuple[str, ...], added: list[pa.Field], spark_types: str, path: str | None, make) -> DataFrame:
     """Map the texts chunk by chunk; ``make(encoded, vocabulary)`` gives the added columns, one value for each text."""
     path = path or default_vocabulary()
-    src = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
+    src = spread(df.select(*keep, F.col(text_col).cast("string").alias("__text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(path)
