@@ -15,8 +15,8 @@ class Lexicon:
     """Entries with their keys, and lookups over them.
 
     ``entries`` needs ``seq, id, hw, p, rf`` and ``c``; build one with ``from_tables`` (parquet) or ``from_lines`` (JSON lines).
-    For repeated lookups over large data, store ``index.with_keys(entries)`` sorted by ``norm`` and read it back: prefix and
-    range predicates then prune row groups.
+    For repeated lookups over large data, ``store`` it and open it with ``from_store``: prefixes and ranges of the key are then
+    pushed into the scan.
     """
 
     def __init__(self, entries: DataFrame, keyed: bool = False):
@@ -31,6 +31,13 @@ class Lexicon:
     def from_lines(cls, spark: SparkSession, paths: str | Sequence[str]) -> Lexicon:
         return cls(read_lines(spark, paths)[0])
 
+    @classmethod
+    def from_store(cls, spark: SparkSession, path: str) -> Lexicon:
+        return cls(spark.read.parquet(path), keyed=True)
+
+    def store(self, path: str) -> None:
+        index.store_keyed(self.entries, path)
+
     def nearest(self, query: str | DataFrame) -> DataFrame:
         """Rows of the nearest key; for a DataFrame of queries (column ``query``) their keys."""
         return search.nearest(self.entries, query) if isinstance(query, str) else search.nearest_batch(self.entries, query)

@@ -23,6 +23,13 @@ def entry_refs(entries: DataFrame) -> DataFrame:
     return each.where("ref is not null").withColumn("norm", normalize_reference(F.col("ref")))
 
 
+def store_keyed(entries: DataFrame, path: str) -> None:
+    """Write entries with their keys, range-partitioned and sorted by key: a prefix or range of the stored column ``norm`` then
+    reaches the parquet scan as a pushed filter and skips row groups."""
+    keyed = entries if "norm" in entries.columns else with_keys(entries)
+    keyed.repartitionByRange("norm", "seq").sortWithinPartitions("norm", "seq").write.mode("overwrite").parquet(path)
+
+
 def key_index(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
     """Of each key: number of rows, first and last in file order. Map-side combined, so a key of any size is one row."""
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first"), F.max(order).alias("last"))

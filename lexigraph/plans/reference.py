@@ -10,6 +10,7 @@ from ..functions.normalize import FINALS, JS_WS, ORDINARY, WS, entry_id, normali
 from ..operators import annotate, crud, etl, graph, history, index, layout, paging, search, senses
 from ..operators.nested import sense_texts
 from ..session import table
+from ..sources.jsonl import split_at
 
 QUERIES, ORACLE = {}, {}
 
@@ -110,6 +111,12 @@ def result_cap(spark: SparkSession, d: str) -> DataFrame:
     return search.capped(table(spark, d, "entries").where("g.ps = 'v'"), "seq")[1]
 
 
+@query("SELECT seq, part, id, hw, CASE WHEN seq < 100 THEN 1 ELSE 2 END AS new_part FROM entries")
+def full_export(spark: SparkSession, d: str) -> DataFrame:
+    split = split_at(table(spark, d, "entries").withColumnRenamed("part", "old"), 100)
+    return split.select("seq", F.col("old").alias("part"), "id", "hw", F.col("part").alias("new_part"))
+
+
 # Headwords
 
 
@@ -397,6 +404,12 @@ def bounding_box(spark: SparkSession, d: str) -> DataFrame:
     return layout.bounding_box(layout.positions(_sages(spark, d), _GROUPS))
 
 
+@query(f"WITH {_V}, {_S}, {_POSITIONS}, b AS (SELECT min(x) AS a, max(x) + 140 AS z, min(y) AS t FROM po), v1 AS (SELECT a, z, t, least(CAST(1200 AS DOUBLE) / (z - a + 40), 0.8) * 0.9 AS s FROM b) SELECT round(s, 6) AS scale, round(600 - (a + z) / 2 * s, 6) AS tx, round(20 - t * s, 6) AS ty FROM v1")
+def initial_view(spark: SparkSession, d: str) -> DataFrame:
+    view = layout.initial_view(layout.positions(_sages(spark, d), _GROUPS), 1200.0)
+    return view.select(*(F.round(c, 6).alias(c) for c in ("scale", "tx", "ty")))
+
+
 @query(f"WITH {_V}, {_D}, {_G}, {_S}, {_VE}, {_POSITIONS} SELECT src, dst, type, CAST(a.x + 70 AS DOUBLE) AS sx, CAST(a.y + 22 AS DOUBLE) AS sy, round((a.x + b.x + 140) / 2 + (b.y - a.y) * CAST(0.1 AS DOUBLE), 6) AS mx, CAST((a.y + b.y + 44) / 2 AS DOUBLE) AS my, CAST(b.x + 70 AS DOUBLE) AS tx, CAST(b.y + 22 AS DOUBLE) AS ty FROM ve JOIN po a ON a.id = src JOIN po b ON b.id = dst")
 def edge_curves(spark: SparkSession, d: str) -> DataFrame:
     return layout.edge_curves(_sages(spark, d), _GROUPS).withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("sx", "sy", "mx", "my", "tx", "ty")})

@@ -60,6 +60,17 @@ def test_prefixes(spark, lexicon):
     assert lexicon.prefix_references(" . ").count() == 0
 
 
+def test_stored_keys_are_pushed_down(spark, lexicon, tmp_path):
+    lexicon.store(str(tmp_path / "keyed"))
+    stored = Lexicon.from_store(spark, str(tmp_path / "keyed"))
+    found = stored.entries.where(F.col("norm").startswith("אב"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(norm,אב)" in plan and found.count() == 3
+    assert [r.norm for r in stored.prefix_headwords("אב").collect()] == ["אב", "אבנ"]
+    narrow = stored.entries.where("seq between 2 and 3").select("hw")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(seq,2)" in narrow and "ReadSchema: struct<seq:bigint,hw:string>" in narrow
+
+
 def test_reference_boundary(spark, lexicon):
     assert [r.seq for r in lexicon.by_reference("X. 1").collect()] == [0, 1]
     assert [r.seq for r in lexicon.by_reference("y 2").collect()] == [5] and lexicon.by_reference("").count() == 0
