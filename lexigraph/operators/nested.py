@@ -316,8 +316,8 @@ def flatten_senses(df: DataFrame, json_col: str | Column, *keep: str, text: bool
 
     Columns added: ``kind`` ('sense', 'form' or 'unreadable'), ``path`` (positions from the top, ``0.2.1``; of a form the path
     of its sense, ``:`` and its position), ``parent`` (the path above, '' at the top), ``pos`` (last position) and, with
-    ``text``, ``d``, ``n``, ``vs`` of a sense and ``form``. ``prefix`` is put before the added names where they would clash
-    with names of ``keep``.
+    ``text``, ``d``, ``n``, ``vs`` of a sense and ``form``. ``prefix`` is put before all added names; without one it is
+    ``sense_`` if a name of ``keep`` is among them.
 
     Defined cases: a text without a complete JSON document gives one 'unreadable' row whose ``path`` is the reason ('null',
     'empty' or 'broken'); JSON inside a JSON string is opened (at most four times); ``null``, numbers and strings in place of
@@ -326,6 +326,7 @@ def flatten_senses(df: DataFrame, json_col: str | Column, *keep: str, text: bool
     and repeated records, have no influence.
     """
     names = [*_LINKS.names, *(_TEXTS.names if text else [])]
+    prefix = prefix or ("sense_" if {*names} & {*keep} else "")
     out_fields = [pa.field(prefix + f.name, f.type) for f in [*_LINKS, *(_TEXTS if text else [])]]
     src = df.select(*keep, (F.col(json_col) if isinstance(json_col, str) else json_col).cast("string").alias("__json"))
     src = spread(src)
@@ -350,8 +351,9 @@ def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out:
     """One row for each record of ``df`` with a definition (``d`` of a sense) that contains ``containing``, in ASCII and
     without regard to case: the columns ``keep`` and all such definitions as an array ``out``, in file order.
 
-    Reads the sense trees as ``flatten_senses`` does; unreadable trees, and trees without such a definition, give no row.
+    A column ``out`` among ``keep`` is replaced. Reads the sense trees as ``flatten_senses`` does; unreadable trees, and trees without such a definition, give no row.
     """
+    keep = tuple(k for k in keep if k != out)
     src = spread(df.select(*keep, F.col(json_col).cast("string").alias("__json")))
     needle = containing.lower().encode()
 

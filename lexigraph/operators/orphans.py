@@ -35,15 +35,17 @@ def orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
     ``refs``: ``target_table``, ``target_key``, ``ref_date`` (null: never late) and any other columns; ``parents``: ``table``,
     ``key``, ``valid_from``, ``valid_to``. A reference with a null target is none; repeated references are all returned; an
     empty ``parents`` makes every reference missing. A target delivered first on a later date than the reference is late.
+    Columns ``reason`` and ``valid_from`` of ``refs`` itself are replaced.
     """
-    p = parents.select(F.col("table").alias("__table"), F.col("key").alias("__key"), "valid_from", F.col("valid_to").alias("__to"))
-    merged = refs.where("target_key is not null").hint("merge").join(p, (F.col("target_table") == F.col("__table")) & (F.col("target_key") == F.col("__key")), "left")
+    p = parents.select(F.col("table").alias("__table"), F.col("key").alias("__key"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"))
+    refs = refs.drop("reason", "valid_from").where("target_key is not null")
+    merged = refs.hint("merge").join(p, (F.col("target_table") == F.col("__table")) & (F.col("target_key") == F.col("__key")), "left")
     reason = (
         F.when(F.col("__key").isNull(), "missing")
         .when(F.col("__to").isNotNull(), "deleted")
-        .when(F.to_date("valid_from") > F.col("ref_date"), "late")
+        .when(F.to_date("__from") > F.col("ref_date"), "late")
     )
-    return merged.withColumn("reason", reason).where("reason is not null").drop("__table", "__key", "__to")
+    return merged.select(*refs.columns, F.col("__from").alias("valid_from"), reason.alias("reason")).where("reason is not null")
 
 
 def by_table_and_month(found: DataFrame) -> DataFrame:

@@ -100,6 +100,8 @@ def test_operator(spark):
     assert got == {(1, "sense", "0", "", 0, "a", "1) ", "Pi.", None), (1, "form", "0:0", "0", 0, None, None, None, "f"), (2, "unreadable", "null", "", 0, None, None, None, None), (3, "unreadable", "empty", "", 0, None, None, None, None), (4, "unreadable", "broken", "", 0, None, None, None, None)}
     clash = flatten_senses(df, "c", "seq", "path", prefix="x_")
     assert clash.columns == ["seq", "path", "x_kind", "x_path", "x_parent", "x_pos"] and clash.count() == 6
+    assert flatten_senses(df, "c", "seq", "path").columns == ["seq", "path", "sense_kind", "sense_path", "sense_parent", "sense_pos"]
+    assert sense_texts(df, "c", "seq", "path", containing="a", out="path").columns == ["seq", "path"]
     assert flatten_senses(df.limit(0), "c", "seq").count() == 0
 
 

@@ -29,6 +29,8 @@ def test_intervals_and_orphans(spark):
     found = orphans(refs, parents)
     assert sorted((r.src_key, r.reason) for r in found.collect()) == [("1", "late"), ("3", "deleted"), ("4", "missing"), ("7", "late"), ("7", "late"), ("8", "missing")]
     assert {tuple(r) for r in by_table_and_month(found).collect()} == {("n", day(1), "late", 3), ("n", day(1), "deleted", 1), ("n", None, "missing", 1), ("n", day(1), "missing", 1)}
+    own = refs.withColumn("reason", F.lit("x")).withColumn("valid_from", F.lit(1)).withColumn("key", F.lit("k"))
+    assert sorted(r.reason for r in orphans(own, parents).collect()) == ["deleted", "late", "late", "late", "missing", "missing"]
     assert orphans(refs, parents.limit(0)).count() == 8
     assert orphans(refs.limit(0), parents).count() == 0
 
@@ -75,6 +77,8 @@ def test_fill_numeric_conditional_and_empty(spark):
     got = {r.id: (r.s_value, r.s_level, r.x_value, r.x_level) for r in fill_from_groups(df, [F.col("k")], fields).collect()}
     assert got == {1: ("n", None, "1.0", None), 2: ("v", None, "5.0", None), 3: ("n", 0, "9.0", None), 4: ("n", 0, "5.0", 0), 5: (None, None, None, None), 6: ("n", None, None, None)}
     assert fill_from_groups(df.limit(0), [F.col("k")], fields).count() == 0
+    again = fill_from_groups(fill_from_groups(df, [F.col("k")], fields), [F.col("k")], fields)
+    assert again.columns == ["id", "k", "x", "s", "s_value", "s_level", "x_value", "x_level"] and again.count() == 6
 
 
 def test_codes_and_letters(spark):
