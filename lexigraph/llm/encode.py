@@ -248,6 +248,7 @@ class Encoded:
 def _run(df: DataFrame, text_col: str, keep: tuple[str, ...], added: list[pa.Field], spark_types: str, path: str | None, make) -> DataFrame:
     """Map the texts chunk by chunk; ``make(encoded, vocabulary)`` gives the added columns, one value for each text."""
     path = path or default_vocabulary()
+    keep = tuple(k for k in keep if k not in {f.name for f in added})
     src = spread(df.select(*keep, F.col(text_col).cast("string").alias("__text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +267,8 @@ def encode(df: DataFrame, text_col: str, *keep: str, out: str = "ids", path: str
     """The columns ``keep`` of every row and ``out``, the ids of its text without special tokens.
 
     Defined cases: null and empty texts have an empty list; strings of special tokens are ordinary text; broken UTF-8 reads
-    as U+FFFD; repeated texts are encoded alike; a text of any length is one unit and is never shortened.
+    as U+FFFD; repeated texts are encoded alike; a text of any length is one unit and is never shortened; a column ``out`` among
+    ``keep`` is replaced.
     """
 
     def make(x: Encoded, voc: Vocabulary) -> list[pa.Array]:

@@ -69,10 +69,11 @@ def split_texts(df: DataFrame, text_col: str, *keep: str, limit: int = 512, over
     lies before the end. Joined without their overlaps, the pieces of a text are the text.
 
     Defined cases: null and empty texts have no piece; texts within the limit are one piece; repeated rows are cut alike; a
-    text without any boundary is cut between characters; only within a character of more tokens than fit would bytes be cut.
+    text without any boundary is cut between characters; columns of ``keep`` with names of those added are replaced; only within a character of more tokens than fit would bytes be cut.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be less than limit")
+    keep = tuple(k for k in keep if k not in ("piece_no", "overlap", "n_pieces", "text", "n_tokens"))
     added = [pa.field("__text", pa.string()), pa.field("__n", pa.int64()), pa.field("__marks", pa.string()), pa.field("__ends", pa.list_(pa.int32()))]
 
     def make(x: Encoded, voc: Vocabulary) -> list[pa.Array]:

@@ -70,6 +70,7 @@ def test_operator(spark, reference):
     assert got == {i: reference.encode_ordinary(t or "") for i, t, _ in rows}
     assert {r.doc_id: r.n for r in count_tokens(df, "text", "doc_id", "ids", out="n").collect()} == {i: len(x) for i, x in got.items()}
     assert encode(df.limit(0), "text", "doc_id").count() == 0
+    assert dict(encode(df, "text", "doc_id", "ids").dtypes) == {"doc_id": "bigint", "ids": "array<int>"}
 
 
 def test_documents(spark, duck, reference):

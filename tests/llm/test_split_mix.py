@@ -73,6 +73,8 @@ def test_nulls_repeats_clashes(spark):
     got = split_texts(df, "body", "id", "n", limit=64, overlap=8).collect()
     assert {r.id for r in got} == {3} and len(got) == 2 * got[0].n_pieces and {r.n for r in got} == {7}
     assert split_texts(df.limit(0), "body", "id").count() == 0
+    clash = df.withColumnRenamed("body", "text").withColumnRenamed("n", "overlap")
+    assert split_texts(clash, "text", "id", "text", "overlap", limit=64, overlap=8).count() == len(got)
     with pytest.raises(ValueError):
         split_texts(df, "body", "id", limit=5, overlap=5)
     assert re.match(cutting_pattern(4, 1), "wwww")[0] == "wwww"
