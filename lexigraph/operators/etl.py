@@ -107,10 +107,11 @@ def markup_violations(html: DataFrame, key: str, text: str) -> DataFrame:
 
 def shorten_keys(json_text: Column) -> Column:
     """Long key names in a JSON text shortened at every depth. Only keys are met: a quote within a string is escaped."""
+    any_ = rf'"(?:{"|".join(SHORT_KEYS)})"\s*:'  # texts without a long name are left at once
     out = json_text
     for long, short in SHORT_KEYS.items():
         out = F.regexp_replace(out, rf'(?<=[{{,\s])"{long}"(?=\s*:)', f'"{short}"')
-    return out
+    return F.when(json_text.rlike(any_), out).otherwise(json_text)
 
 
 def resolve_word_links(links: DataFrame, entries: DataFrame, target: str = "target") -> DataFrame:

@@ -125,7 +125,56 @@ def p3_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_by_month, p2_found, p2_filled, p2_unfilled, p3_found, p3_tables, p3_unreadable)}
 
+_TRIM = lambda c: f"nullif(regexp_replace({c}, '^[{_DUCK_WS}]+|[{_DUCK_WS}]+$', '', 'g'), '')"
+_ENTRY, _SAGE = (lambda c: f"upper({_TRIM(c)})"), (lambda c: f"lower({_TRIM(c)})")
+
+
+def _spans_sql(name: str, kind: str, key, order: str) -> str:
+    seen = f"SELECT {key('id')} AS k, min(loaded_at) AS f, max(loaded_at) AS l, max({order}) AS top FROM {kind} WHERE id IS NOT NULL GROUP BY 1"
+    gone = f"SELECT {key('rid')} AS k, max(removed_at) AS r FROM removals WHERE tbl = '{kind}' GROUP BY 1"
+    return f"{name} AS (SELECT s.k, f, top, coalesce(r > l, false) AS gone FROM ({seen}) s LEFT JOIN ({gone}) g USING (k) WHERE s.k IS NOT NULL)"
+
+
+# In JSON text quotes are escaped once, or three times where the tree is a string in a string.
+_TEXT = "replace(replace(replace(replace(c, '\\\\\\\"', '\"'), '\\\"', '\"'), '\\u00a0', chr(160)), '\\t', chr(9))"
+_P1 = f"""
+WITH {_spans_sql('es', 'entries', _ENTRY, 'seq')}, {_spans_sql('ss', 'sages', _SAGE, 'pos')},
+h AS (SELECT es.k, CAST(loaded_at AS DATE) AS d, unnest(regexp_extract_all({_TEXT}, '(?is)<a\\s[^>]*?href\\s*=\\s*("[^"]*"|''[^'']*'')', 1)) AS q FROM entries JOIN es ON es.k = {_ENTRY('id')} AND seq = top AND NOT gone WHERE json_valid(c)),
+t AS (SELECT k, d, replace(substr(q, 2, length(q) - 2), '&nbsp;', ' ') AS q FROM h),
+r AS (SELECT DISTINCT 'entries' AS src_table, k AS src_key, CASE WHEN contains(q, '#rid:') THEN 'e' ELSE 's' END AS kind, CASE WHEN contains(q, '#rid:') THEN {_ENTRY("regexp_extract(q, '(?s)#rid:(.*)$', 1)")} ELSE {_SAGE("regexp_extract(q, '(?s)#sage:(.*)$', 1)")} END AS target_key, d FROM t WHERE contains(q, '#rid:') OR contains(q, '#sage:')
+UNION ALL SELECT 'annotations', CAST(ann_id AS VARCHAR), 'e', {_ENTRY('rid')}, created FROM annotations
+UNION ALL SELECT DISTINCT 'sages', k, 's', {_SAGE('x')}, d FROM (SELECT ss.k, unnest(relationships).target AS x, CAST(loaded_at AS DATE) AS d FROM sages JOIN ss ON ss.k = {_SAGE('id')} AND pos = top AND NOT gone)),
+p AS (SELECT 'e' AS kind, * FROM es UNION ALL SELECT 's', * FROM ss),
+o AS (SELECT r.*, CASE WHEN p.k IS NULL THEN 'missing' WHEN p.gone THEN 'deleted' WHEN CAST(p.f AS DATE) > r.d THEN 'late' END AS reason FROM r LEFT JOIN p ON p.kind = r.kind AND p.k = r.target_key WHERE r.target_key IS NOT NULL)
+"""
+
+_BOX = "CASE json_type({0}) WHEN 'ARRAY' THEN CAST({0} AS JSON[]) WHEN 'OBJECT' THEN [{0}] ELSE [] END"
+_P3 = f"""
+WITH RECURSIVE d AS (SELECT seq, CASE WHEN json_type(c) = 'VARCHAR' THEN TRY_CAST(json_extract_string(c, '$') AS JSON) ELSE CAST(c AS JSON) END AS j FROM entries WHERE json_valid(c)),
+b AS (SELECT seq, {_BOX.format('s')} AS l FROM (SELECT seq, CASE json_type(j) WHEN 'ARRAY' THEN j WHEN 'OBJECT' THEN coalesce(json_extract(j, '$.s'), json_extract(j, '$.senses')) END AS s FROM d)),
+n AS (
+    SELECT seq, CAST(i AS VARCHAR) AS path, '' AS parent, e FROM (SELECT seq, unnest(l) AS e, generate_subscripts(l, 1) - 1 AS i FROM b) WHERE json_type(e) = 'OBJECT'
+    UNION ALL
+    SELECT seq, parent || '.' || i, parent, e FROM (SELECT seq, path AS parent, unnest(l) AS e, generate_subscripts(l, 1) - 1 AS i FROM (SELECT seq, path, {_BOX.format('s')} AS l FROM (SELECT seq, path, coalesce(json_extract(e, '$.s'), json_extract(e, '$.senses')) AS s FROM n))) WHERE json_type(e) = 'OBJECT'
+),
+g AS (SELECT seq, path, CASE json_type(f) WHEN 'ARRAY' THEN CAST(f AS JSON[]) WHEN 'VARCHAR' THEN [f] ELSE [] END AS l FROM (SELECT seq, path, coalesce(json_extract(e, '$.g.bf'), json_extract(e, '$.grammar.binyan_form')) AS f FROM n)),
+x AS (SELECT seq, path, i, x FROM (SELECT seq, path, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM g) WHERE json_type(x) = 'VARCHAR')
+"""
+
+
+def _string_sql(*paths: str) -> str:
+    return f"coalesce({', '.join(f"""CASE WHEN json_type(e, '{p}') = 'VARCHAR' THEN json_extract_string(e, '{p}') END""" for p in paths)})"
+
+
+_P3_FOUND = _P3 + "SELECT seq, 'sense' AS kind, path, parent FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path FROM x"
+_P3_TABLES = _P3 + f"SELECT seq, 'sense' AS kind, path, parent, CAST(split_part(path, '.', -1) AS BIGINT) AS pos, {_string_sql('$.d', '$.definition')} AS d, {_string_sql('$.n', '$.number')} AS n, {_string_sql('$.g.vs', '$.grammar.verbal_stem')} AS vs, NULL AS form FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path, i, NULL, NULL, NULL, json_extract_string(x, '$') FROM x"
+
 ORACLE = {
+    "p1_found": _P1 + "SELECT src_table, src_key, target_key FROM o WHERE reason IS NOT NULL",
+    "p1_by_month": _P1 + "SELECT src_table, CAST(date_trunc('month', d) AS DATE) AS month, reason, count(*) AS n FROM o WHERE reason IS NOT NULL GROUP BY ALL",
+    "p2_filled": _P2 + "SELECT seq, e.hw, e.g.ps AS ps, e.g.gn AS gn, ps_value, CASE WHEN f.ps IS NULL AND ps_value IS NOT NULL THEN 0 END AS ps_level, gn_value, CASE WHEN f.gn IS NULL AND gn_value IS NOT NULL THEN 0 END AS gn_level FROM f JOIN entries e USING (seq)",
+    "p3_found": _P3_FOUND,
+    "p3_tables": _P3_TABLES,
     "p2_found": _P2 + "SELECT seq, 'ps' AS field, ps_value AS value FROM f WHERE ps IS NULL AND ps_value IS NOT NULL UNION ALL SELECT seq, 'gn', gn_value FROM f WHERE gn IS NULL AND gn_value IS NOT NULL",
     "p2_unfilled": _P2 + "SELECT seq, 'ps' AS field FROM f WHERE ps_value IS NULL UNION ALL SELECT seq, 'gn' FROM f WHERE gn_value IS NULL AND (ps_value IS NULL OR ps_value IN ('n', 'a', 'pt'))",
     "p3_unreadable": "SELECT seq, CASE WHEN c IS NULL THEN 'null' WHEN trim(c) = '' THEN 'empty' ELSE 'broken' END AS reason FROM entries WHERE c IS NULL OR NOT json_valid(c)",
