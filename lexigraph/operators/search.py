@@ -63,7 +63,9 @@ def _by_prefix(keys: DataFrame, asked: DataFrame, query: str, key: str, limit: i
 def nearest(entries: DataFrame, query: str) -> DataFrame:
     """The rows of the key equal to the query, else of the first key after it, else of the last key."""
     q = normalize_hebrew(F.lit(query))
-    key = entries.agg(F.coalesce(F.min(F.when(F.col("norm") >= q, F.col("norm"))), F.max("norm")).alias("norm"))
+    after = entries.where(F.col("norm") >= q).agg(F.min("norm").alias("a"), F.lit(None).cast("string").alias("z"))  # pushed down where stored
+    last = entries.agg(F.lit(None).cast("string").alias("a"), F.max("norm").alias("z"))
+    key = after.unionByName(last).agg(F.coalesce(F.max("a"), F.max("z")).alias("norm"))
     return entries.join(F.broadcast(key), "norm", "left_semi")
 
 

@@ -54,6 +54,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_orphans(spark, sf_dir).select("src_table", "src_key", "target_key")
 
 
+def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every orphan with its reason and the date of the reference."""
+    return p1_orphans(spark, sf_dir).select("src_table", "src_key", "target_table", "target_key", "ref_date", "reason")
+
+
 def p1_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_table_and_month(p1_orphans(spark, sf_dir))
 
@@ -123,7 +128,7 @@ def p3_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_senses(table(spark, sf_dir, "entries"), "c", "seq").where("kind = 'unreadable'").select("seq", F.col("path").alias("reason"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_by_month, p2_found, p2_filled, p2_unfilled, p3_found, p3_tables, p3_unreadable)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reasons, p1_by_month, p2_found, p2_filled, p2_unfilled, p3_found, p3_tables, p3_unreadable)}
 
 _TRIM = lambda c: f"nullif(regexp_replace({c}, '^[{_DUCK_WS}]+|[{_DUCK_WS}]+$', '', 'g'), '')"
 _ENTRY, _SAGE = (lambda c: f"upper({_TRIM(c)})"), (lambda c: f"lower({_TRIM(c)})")
@@ -171,6 +176,7 @@ _P3_TABLES = _P3 + f"SELECT seq, 'sense' AS kind, path, parent, CAST(split_part(
 
 ORACLE = {
     "p1_found": _P1 + "SELECT src_table, src_key, target_key FROM o WHERE reason IS NOT NULL",
+    "p1_reasons": _P1 + "SELECT src_table, src_key, CASE kind WHEN 'e' THEN 'entries' ELSE 'sages' END AS target_table, target_key, d AS ref_date, reason FROM o WHERE reason IS NOT NULL",
     "p1_by_month": _P1 + "SELECT src_table, CAST(date_trunc('month', d) AS DATE) AS month, reason, count(*) AS n FROM o WHERE reason IS NOT NULL GROUP BY ALL",
     "p2_filled": _P2 + "SELECT seq, e.hw, e.g.ps AS ps, e.g.gn AS gn, ps_value, CASE WHEN f.ps IS NULL AND ps_value IS NOT NULL THEN 0 END AS ps_level, gn_value, CASE WHEN f.gn IS NULL AND gn_value IS NOT NULL THEN 0 END AS gn_level FROM f JOIN entries e USING (seq)",
     "p3_found": _P3_FOUND,
