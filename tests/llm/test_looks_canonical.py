@@ -39,6 +39,13 @@ def test_pairs_against_brute_force(spark):
     assert [tuple(r) for r in look_alikes(long, "hw", "seq").collect()] == [(1, 2)]
 
 
+def test_hot_spelling_is_not_squared(spark):
+    """Twenty thousand rows of one spelling meet the three rows of another, never each other."""
+    df = spark.range(20_003).select(F.col("id").alias("seq"), F.when(F.col("id") < 20_000, "א").otherwise("א​").alias("hw"))
+    pairs = look_alikes(df, "hw", "seq")
+    assert pairs.count() == 60_000 and "CartesianProduct" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_same_as_sql(spark, duck, name):
     same_rows(queries.QUERIES[name](spark, DATA), duck, queries.ORACLE[name])
