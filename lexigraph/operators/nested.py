@@ -24,20 +24,22 @@ from ..session import spread
 #: Bytes of JSON text that are indexed at once.
 CHUNK = 2_000_000
 
-#: The short and long key names of the pipeline.
+#: The short and long key names of the pipeline; a long name has the code of its short one and ``LONG``.
+LONG = 8
 KEYS = {
-    "s": 1, "senses": 1,
-    "g": 2, "grammar": 2,
-    "bf": 3, "binyan_form": 3,
-    "d": 4, "definition": 4,
-    "n": 5, "number": 5,
-    "vs": 6, "verbal_stem": 6,
-    "c": 7, "content": 7,
+    "s": 1, "senses": 1 + LONG,
+    "g": 2, "grammar": 2 + LONG,
+    "bf": 3, "binyan_form": 3 + LONG,
+    "d": 4, "definition": 4 + LONG,
+    "n": 5, "number": 5 + LONG,
+    "vs": 6, "verbal_stem": 6 + LONG,
+    "c": 7, "content": 7 + LONG,
 }
 SENSES, GRAMMAR, FORMS, TEXT, NUMBER, STEM, CONTENT = range(1, 8)
 
 _OPEN_OBJ, _CLOSE_OBJ, _OPEN_ARR, _CLOSE_ARR, _COLON, _COMMA, _QUOTE, _LIT = b"{}[]:,\"v"
 _NUMBER = re.compile(rb"-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?\Z")
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _STRUCT = np.zeros(256, bool)
 _STRUCT[list(b"{}[]:,")] = True
 _BLANK = np.zeros(256, bool)
@@ -51,8 +53,8 @@ _ESCAPES[list(b'"\\/bfnrtu')] = True
 class Index:
     """Structural index of a chunk of JSON texts. Arrays over its values (objects, arrays, strings, literals), in file order:
     ``row``, ``kind`` (first byte, literals ``v``), ``start``, ``end``, ``parent`` (index of the enclosing value or -1),
-    ``key`` (code of ``KEYS``, 0: other or none) and ``at`` (position in the enclosing array). ``ok`` marks the rows that
-    hold one complete JSON document."""
+    ``key`` (short code of ``KEYS``, 0: other or none) and ``at`` (position in the enclosing array). ``ok`` marks the rows that
+    hold one complete JSON document. No two values of an object have the same code: see ``_settle``."""
 
     def __init__(self, texts: pa.Array):
         n = len(texts)
@@ -74,6 +76,7 @@ class Index:
         self.ok &= np.bincount(row_of[quote], minlength=n) % 2 == 0
         quote &= self.ok[row_of]
         inside = np.bitwise_xor.accumulate(quote.view(np.uint8)).view(bool) if len(buf) else quote
+        self.ok[row_of[np.flatnonzero((buf < 32) & inside)]] = False  # control characters must be escaped
         e = np.flatnonzero(esc[:-1] & inside)
         if len(e):
             bad = ~_ESCAPES[buf[e]]
@@ -108,7 +111,8 @@ class Index:
         marker = np.zeros(len(twice), bool)
         marker[1:] = twice[1:] == twice[:-1]
         level = (depth - opens + (step < 0))[twice] + marker
-        order = np.argsort(np.clip(level, -1, 32000).astype(np.int16), kind="stable")
+        level = np.maximum(level, -1)
+        order = np.argsort(level.astype(np.int16) if len(level) and level.max() < 1 << 15 else level, kind="stable")  # short numbers sort faster
         t, marker, level = twice[order], marker[order], level[order]
         k = np.where(marker, 0, kind[t])
         here = np.arange(len(t))
@@ -153,14 +157,7 @@ class Index:
         stop = np.flatnonzero(~lit)
         if len(lits):
             end[lits] = stop[np.searchsorted(stop, pos[lits])]
-            raw = buf.tobytes()
-            seen: dict[bytes, bool] = {}
-            for i, a, b in zip(lits.tolist(), pos[lits].tolist(), end[lits].tolist()):
-                word = raw[a:b]
-                if word not in seen:
-                    seen[word] = word in (b"null", b"true", b"false") or bool(_NUMBER.match(word))
-                if not seen[word]:
-                    self.ok[row[i]] = False
+            self.ok[row[lits[~self._literals(pos[lits], end[lits])]]] = False
         commas = np.cumsum(k == _COMMA)
         take = value & ~is_key
         code = np.zeros(len(t), np.int8)
@@ -177,7 +174,26 @@ class Index:
         new = np.full(len(pos) + 1, -1, np.int64)
         new[t[v]] = np.arange(len(v))
         self.row, self.kind, self.start, self.end = row[t[v]], kind[t[v]], pos[t[v]], end[t[v]]
-        self.parent, self.key, self.at = new[box[v]], code[v], at[v]
+        self.parent, self.at = new[box[v]], at[v]
+        self.key = self._settle(code[v])
+
+    def _literals(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which literals are null, true, false or a number; every distinct one is tried once."""
+        good = np.zeros(len(start), bool)
+        length = end - start
+        short = np.flatnonzero(length <= 7)
+        padded = np.append(self.buf, np.zeros(8, np.uint8))
+        bytes_ = np.zeros((len(short), 8), np.uint8)
+        for i in range(7):
+            has = length[short] > i
+            bytes_[has, i] = padded[start[short[has]] + i]
+        bytes_[:, 7] = length[short]
+        words, which = np.unique(bytes_.view(np.uint64).ravel(), return_inverse=True)
+        fine = [_literal(w[: w[7]]) for w in (int(x).to_bytes(8, "little") for x in words.tolist())]
+        good[short] = np.array(fine, bool)[which] if len(short) else False
+        for i in np.flatnonzero(length > 7).tolist():
+            good[i] = _literal(self.buf[start[i] : end[i]].tobytes())
+        return good
 
     def _codes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         out = np.zeros(len(start), np.int8)
@@ -187,13 +203,71 @@ class Index:
             for i, byte in enumerate(name.encode()):
                 hit = hit[self.buf[start[hit] + 1 + i] == byte]
             out[hit] = code
+        slash = np.flatnonzero(self.buf == 92)  # names with escapes are read
+        for i in np.flatnonzero(np.searchsorted(slash, start) < np.searchsorted(slash, end)).tolist():
+            out[i] = KEYS.get(_unescaped(self.buf[start[i] : end[i]].tobytes()), 0)
+        return out
+
+    def _settle(self, code: np.ndarray) -> np.ndarray:
+        """Short codes, each once in an object: of a name written twice the last counts, as JSON readers take it; of a short and a
+        long name the short one, unless it is null."""
+        named = np.flatnonzero(code > 0)
+        for what in (code, code & (LONG - 1)):
+            group = self.parent[named] * 16 + what[named]
+            null = (self.kind[named] == _LIT) & (self.buf[self.start[named]] == ord("n")) if what is not code else np.zeros(len(named), bool)
+            rank = np.lexsort((named, code[named] < LONG, ~null, group))
+            last = np.append(group[rank][1:] != group[rank][:-1], True) if len(rank) else np.zeros(0, bool)
+            named = np.sort(named[rank[last]])
+        out = np.zeros(len(code), np.int8)
+        out[named] = code[named] & (LONG - 1)
         return out
 
     def text(self, values: np.ndarray) -> list[str]:
-        """The strings at the given values, unescaped."""
+        """The strings at the given values, unescaped; half a surrogate pair reads as the replacement character."""
         raw = self.buf.tobytes()
         spans = (raw[a:b] for a, b in zip(self.start[values].tolist(), self.end[values].tolist()))
-        return [json.loads(x, strict=False) if b"\\" in x else x[1:-1].decode() for x in spans]
+        return [_unescaped(x) if b"\\" in x else x[1:-1].decode("utf-8", "replace") for x in spans]
+
+
+def _literal(word: bytes) -> bool:
+    return word in (b"null", b"true", b"false") or bool(_NUMBER.match(word))
+
+
+def _unescaped(quoted: bytes) -> str:
+    text = json.loads(quoted.decode("utf-8", "replace"))
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace") if _SURROGATE.search(text) else text
+
+
+class Below:
+    """The children of chosen values, found by their parents: ``of(front)`` gives those of all values of ``front`` at once."""
+
+    def __init__(self, x: Index, chosen: np.ndarray):
+        ids = np.flatnonzero(chosen & (x.parent >= 0))
+        self.ids = ids[np.argsort(x.parent[ids], kind="stable")]
+        self.parents = x.parent[self.ids]
+
+    def of(self, front: np.ndarray) -> np.ndarray:
+        """The children, grouped by parent in the order of ``front`` and in file order within a parent."""
+        return self.ids[self.places(front)[0]]
+
+    def places(self, front: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low, high = np.searchsorted(self.parents, front), np.searchsorted(self.parents, front, "right")
+        n = high - low
+        return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
+def _top(x: Index) -> np.ndarray:
+    """The value that holds the top senses of each document, if any: the document, the senses of an object, else what its
+    content holds, however often it is wrapped."""
+    objects, arrays = x.kind == _OPEN_OBJ, x.kind == _OPEN_ARR
+    senses, content = Below(x, (objects | arrays) & (x.key == SENSES)), Below(x, (objects | arrays) & (x.key == CONTENT))
+    found, holder = [np.flatnonzero((x.parent < 0) & arrays)], np.flatnonzero((x.parent < 0) & objects)
+    while len(holder):
+        found.append(here := senses.of(holder))
+        inner = content.of(np.setdiff1d(holder, x.parent[here], assume_unique=True))
+        found.append(inner[arrays[inner]])
+        holder = inner[objects[inner]]
+    return np.concatenate(found)
 
 
 def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
@@ -205,21 +279,15 @@ def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
         return np.zeros(0, object), [], none
     objects, arrays, inner = x.kind == _OPEN_OBJ, x.kind == _OPEN_ARR, x.parent >= 0
     parent_kind = np.where(inner, x.kind[x.parent], 0)
-    holder = ~inner & objects  # the document, or what its c holds
-    for _ in range(3):
-        holder = holder | ((x.key == CONTENT) & objects & inner & holder[x.parent])
-    front = np.flatnonzero((~inner & arrays) | (inner & holder[x.parent] & (((objects | arrays) & (x.key == SENSES)) | (arrays & (x.key == CONTENT)))))
-    elements = np.flatnonzero(objects & (parent_kind == _OPEN_ARR))
-    nested = np.flatnonzero((objects | arrays) & (x.key == SENSES) & (parent_kind == _OPEN_OBJ))
+    elements = Below(x, objects & (parent_kind == _OPEN_ARR))
+    nested = Below(x, (objects | arrays) & (x.key == SENSES) & (parent_kind == _OPEN_OBJ))
+    front = _top(x)
     path_of = np.full(n, None, object)
     above = np.full(n, "", object)  # of a container: the path of the sense that holds it
     ids, levels = [], []
-    mark = np.zeros(n, bool)
     while len(front):
-        mark[:] = False
-        mark[front] = True
         alone = front[objects[front]]
-        listed = elements[mark[x.parent[elements]]]
+        listed = elements.of(front[arrays[front]])
         here = np.concatenate([alone, listed])
         if paths:
             held = np.concatenate([above[alone], above[x.parent[listed]]])
@@ -227,16 +295,14 @@ def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
             path_of[here] = [f"{p}.{i}" if p else str(i) for p, i in zip(held, number.tolist())]
             levels.append((held, number))
         ids.append(here)
-        mark[:] = False
-        mark[here] = True
-        front = nested[mark[x.parent[nested]]]
+        front = nested.of(here)
         if paths:
             above[front] = path_of[x.parent[front]]
     return path_of, levels, np.concatenate(ids) if ids else none
 
 
-def _senses(x: Index, text: bool) -> dict[str, list]:
-    """The senses and forms of an index, as columns ``row, kind, path, parent, pos`` and the texts."""
+def _senses(x: Index, text: bool) -> tuple[dict[str, list], int]:
+    """The senses and forms of an index, as columns ``row, kind, path, parent, pos`` and the texts; how deep they lie."""
     n = len(x.kind)
     path_of, levels, sense = _walk(x, paths=True)
     held = np.concatenate([a for a, _ in levels]) if levels else np.zeros(0, object)
@@ -270,7 +336,7 @@ def _senses(x: Index, text: bool) -> dict[str, list]:
             column[own] = x.text(hit)
             out[name] = [*column[sense], *[None] * len(form)]
         out["form"] = [*[None] * len(sense), *x.text(form)]
-    return out
+    return out, len(levels)
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
@@ -284,27 +350,38 @@ def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def _flatten(texts: pa.Array, text: bool) -> Iterator[dict[str, list]]:
-    """Rows of a batch; JSON strings that hold JSON again are opened and indexed in the next pass."""
+def opened(texts: pa.Array) -> Iterator[tuple[Index, np.ndarray, pa.Array | None]]:
+    """Indexes of the texts, chunk by chunk, and the rows of ``texts`` that theirs are; JSON strings that hold JSON again, however
+    often, are opened and indexed in the next pass. The texts are given along in the first pass."""
     for start, stop in chunks(texts):
-        part, rows = texts.slice(start, stop - start), np.arange(start, stop)
-        for again in range(5):
-            x = Index(pc.fill_null(part, ""))
-            found = _senses(x, text)
-            found["row"] = rows[found["row"]]
-            yield found
+        part, rows, first = texts.slice(start, stop - start), np.arange(start, stop), True
+        while len(rows):
+            x = Index(pc.fill_null(part, "") if first else part)
+            yield x, rows, part if first else None
             inner = np.flatnonzero((x.parent < 0) & (x.kind == _QUOTE))
-            lost = ~x.ok
-            if again == 4:
-                lost[x.row[inner]] = True
-            lost = np.flatnonzero(lost)
-            if len(lost):
-                null = part.is_null().to_numpy(zero_copy_only=False)
-                empty = pc.equal(pc.utf8_trim_whitespace(pc.fill_null(part, "")), "").to_numpy(zero_copy_only=False)
-                yield {"row": rows[lost], "kind": ["unreadable"] * len(lost), "path": ["null" if null[i] and not again else "empty" if empty[i] else "broken" for i in lost], "parent": [""] * len(lost), "pos": [0] * len(lost)}
-            if again == 4 or not len(inner):
-                break
-            part, rows = pa.array(x.text(inner), pa.string()), rows[x.row[inner]]
+            part, rows, first = pa.array(x.text(inner), pa.string()), rows[x.row[inner]], False
+
+
+#: Characters of paths, about, that one output batch holds at most.
+_PATH_CHARS = 1 << 26
+
+
+def _flatten(texts: pa.Array, text: bool) -> Iterator[dict[str, list]]:
+    """The rows of a batch, in batches of bounded size; the unreadable texts with the reason."""
+    for x, rows, whole in opened(texts):
+        found, depth = _senses(x, text)
+        found["row"] = rows[found["row"]]
+        step = max(1, _PATH_CHARS // (8 * max(depth, 1)))  # deep trees have long paths
+        for i in range(0, len(found["row"]), step):
+            yield {name: column[i : i + step] for name, column in found.items()}
+        lost = np.flatnonzero(~x.ok)
+        if len(lost):
+            reason = np.full(len(lost), "broken", object)
+            if whole is not None:
+                bad = whole.take(pa.array(lost))
+                reason[pc.equal(pc.utf8_trim_whitespace(pc.fill_null(bad, "")), "").to_numpy(zero_copy_only=False)] = "empty"
+                reason[bad.is_null().to_numpy(zero_copy_only=False)] = "null"
+            yield {"row": rows[lost], "kind": ["unreadable"] * len(lost), "path": reason.tolist(), "parent": [""] * len(lost), "pos": [0] * len(lost)}
 
 
 _LINKS = pa.schema([("kind", pa.string()), ("path", pa.string()), ("parent", pa.string()), ("pos", pa.int64())])
@@ -320,10 +397,12 @@ def flatten_senses(df: DataFrame, json_col: str | Column, *keep: str, text: bool
     ``sense_`` if a name of ``keep`` is among them.
 
     Defined cases: a text without a complete JSON document gives one 'unreadable' row whose ``path`` is the reason ('null',
-    'empty' or 'broken'); JSON inside a JSON string is opened (at most four times); ``null``, numbers and strings in place of
-    a sense take a position and give no row; a single object or string in place of an array has position 0; a document that
-    is ``null``, ``{}`` or a number gives no rows. Of a key written twice in one object, both values count. Other columns,
-    and repeated records, have no influence.
+    'empty' or 'broken'; control characters that are not escaped break a document); JSON inside a JSON string is opened, however
+    often; so are ``c`` objects around the senses; key names may be escaped; trees may be of any depth. ``null``, numbers and
+    strings in place of a sense take a position and give no row; a single object or string in place of an array has position
+    0; a document that is ``null``, ``{}`` or a number gives no rows. Of a name written twice in one object the last value
+    counts; of the short and the long name the short one, unless it is null. Other columns, and repeated records, have no
+    influence.
     """
     names = [*_LINKS.names, *(_TEXTS.names if text else [])]
     prefix = prefix or ("sense_" if {*names} & {*keep} else "")
@@ -351,16 +430,16 @@ def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out:
     """One row for each record of ``df`` with a definition (``d`` of a sense) that contains ``containing``, in ASCII and
     without regard to case: the columns ``keep`` and all such definitions as an array ``out``, in file order.
 
-    A column ``out`` among ``keep`` is replaced. Reads the sense trees as ``flatten_senses`` does; unreadable trees, and trees without such a definition, give no row.
+    A column ``out`` among ``keep`` is replaced. Reads the sense trees as ``flatten_senses`` does, and finds what a filter over
+    its ``d`` finds; unreadable trees, and trees without such a definition, give no row.
     """
     keep = tuple(k for k in keep if k != out)
     src = spread(df.select(*keep, F.col(json_col).cast("string").alias("__json")))
-    needle = containing.lower().encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[int, list[str]] = {}
-            for row, text in _definitions(batch.column(batch.num_columns - 1), needle):
+            for row, text in _definitions(batch.column(batch.num_columns - 1), containing):
                 held.setdefault(row, []).append(text)
             if held:
                 rows = pa.array(list(held), pa.int64())
@@ -370,21 +449,19 @@ def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out:
     return src.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), f"`{out}` array<string>"]))
 
 
-def _definitions(texts: pa.Array, needle: bytes) -> Iterator[tuple[int, str]]:
-    for start, stop in chunks(texts):
-        part, rows = texts.slice(start, stop - start), np.arange(start, stop)
-        for _ in range(5):
-            x = Index(pc.fill_null(part, ""))
-            _, _, sense = _walk(x)
-            is_sense = np.zeros(len(x.kind) + 1, bool)
-            is_sense[sense] = True
-            hit = np.flatnonzero(is_sense[x.parent] & (x.key == TEXT) & (x.kind == _QUOTE))
-            raw = x.buf.tobytes()
-            low = raw.lower()
-            a, b = x.start[hit].tolist(), x.end[hit].tolist()
-            hit = hit[np.fromiter((low.find(needle, i, j) >= 0 for i, j in zip(a, b)), bool, len(hit))]
-            yield from zip(rows[x.row[hit]].tolist(), x.text(hit))
-            inner = np.flatnonzero((x.parent < 0) & (x.kind == _QUOTE))
-            if not len(inner):
-                break
-            part, rows = pa.array(x.text(inner), pa.string()), rows[x.row[inner]]
+def _definitions(texts: pa.Array, containing: str) -> Iterator[tuple[int, str]]:
+    """Row and text of the definitions that contain a text. Strings are searched as they are written, and read where they hold it
+    or may hold it in escapes."""
+    needle = containing.lower().encode()
+    escaped = b"\\" if set(containing) & set('"\\/\b\f\n\r\t') else b"\\u"
+    wanted = re.compile(re.escape(containing), re.I | re.A)
+    for x, rows, _ in opened(texts):
+        _, _, sense = _walk(x)
+        is_sense = np.zeros(len(x.kind) + 1, bool)
+        is_sense[sense] = True
+        hit = np.flatnonzero(is_sense[x.parent] & (x.key == TEXT) & (x.kind == _QUOTE))
+        raw = x.buf.tobytes()
+        low = raw.lower()
+        spans = zip(x.start[hit].tolist(), x.end[hit].tolist())
+        hit = hit[np.fromiter((low.find(needle, a, b) >= 0 or raw.find(escaped, a, b) >= 0 for a, b in spans), bool, len(hit))]
+        yield from ((row, text) for row, text in zip(rows[x.row[hit]].tolist(), x.text(hit)) if wanted.search(text))

@@ -10,15 +10,17 @@ from hypothesis import strategies as st
 from lexigraph.operators.nested import _flatten, flatten_senses, sense_texts
 
 
+def named(x, short, long):
+    """The value of a key by either name: the short one unless it is null."""
+    return x[short] if x.get(short) is not None else x.get(long)
+
+
 def walked(text):
     """(kind, path, parent) of a JSON text, or None if there is no complete document."""
     try:
         doc = json.loads(text)
-        for _ in range(4):
-            if isinstance(doc, str):
-                doc = json.loads(doc)
-        if isinstance(doc, str):
-            return None
+        while isinstance(doc, str):
+            doc = json.loads(doc)
     except (TypeError, ValueError):
         return None
     out = set()
@@ -29,21 +31,22 @@ def walked(text):
                 continue
             path = f"{above}.{i}" if above else str(i)
             out.add(("sense", path, above))
-            for key in ("s", "senses"):
-                if isinstance(x.get(key), (list, dict)):
-                    senses(x[key], path)
-            for g in (x.get("g"), x.get("grammar")):
-                for f in (g.get("bf"), g.get("binyan_form")) if isinstance(g, dict) else ():
-                    for j, form in enumerate(f if isinstance(f, list) else [f]):
-                        if isinstance(form, str):
-                            out.add(("form", f"{path}:{j}", path))
-
-    if isinstance(doc, list):
-        senses(doc, "")
-    elif isinstance(doc, dict):
-        for key in ("s", "senses"):
-            if isinstance(doc.get(key), (list, dict)):
-                senses(doc[key], "")
+            if isinstance(below := named(x, "s", "senses"), (list, dict)):
+                senses(below, path)
+            if isinstance(g := named(x, "g", "grammar"), dict):
+                f = named(g, "bf", "binyan_form")
+                for j, form in enumerate(f if isinstance(f, list) else [f]):
+                    if isinstance(form, str):
+                        out.add(("form", f"{path}:{j}", path))
+
+    while isinstance(doc, dict):
+        if isinstance(found := named(doc, "s", "senses"), (list, dict)):
+            senses(found, "")
+            break
+        doc = named(doc, "c", "content")
+    else:
+        if isinstance(doc, list):
+            senses(doc, "")
     return out
 
 
@@ -74,8 +77,8 @@ def test_cases_together_and_alone():
     assert [indexed([t])[0] for t in CASES] == want
 
 
-leaf = st.none() | st.booleans() | st.integers(-5, 5) | st.text(alphabet='ab"\\{}[],: א', max_size=6)
-keys = st.sampled_from(["s", "senses", "d", "g", "bf", "grammar", "binyan_form", "n", "x"])
+leaf = st.none() | st.booleans() | st.integers(-5, 5) | st.text(alphabet='ab"\\{}[],:\n א', max_size=6)
+keys = st.sampled_from(["s", "senses", "d", "g", "bf", "grammar", "binyan_form", "n", "c", "content", "x"])
 docs = st.recursive(leaf, lambda x: st.lists(x, max_size=4) | st.dictionaries(keys, x, max_size=4), max_leaves=25)
 
 
@@ -84,8 +87,6 @@ docs = st.recursive(leaf, lambda x: st.lists(x, max_size=4) | st.dictionaries(ke
 def test_any_documents(items):
     texts = []
     for doc, cut, ascii_ in items:
-        if isinstance(doc, dict) and {"c", "content"} & set(doc) or isinstance(doc, dict) and ("s" in doc and "senses" in doc or "g" in doc and "grammar" in doc):
-            continue
         text = json.dumps(doc, ensure_ascii=ascii_)
         texts.append(text[: len(text) - cut] if cut > 9 else text)
     got = indexed(texts)
@@ -93,6 +94,32 @@ def test_any_documents(items):
         assert x == walked(text), text
 
 
+ODD = [
+    '{"\\u0073":[{"\\u0064":"a","g":{"b\\u0066":["x"]}}]}', '{"c":{"c":{"c":{"content":{"c":{"s":[{"d":"deep"}]}}}}}}', '{"c":{"c":[{"d":"a"},{"s":{}}]}}', '{"s":null,"senses":[{}]}', '{"senses":[{},{}],"s":[{}]}',
+    '{"s":[{}],"s":[{},{}]}', '{"s":[{}],"s":null}', '{"s":[{"g":{"bf":"a","bf":["b","c"]}}]}', '{"s":[{"d":"a\nb"}]}', '{"s":[{"d":"a\tb"}]}', '{"s":\n\t[{}]}', '{"s":[{"d":"\x01"}]}', '{"s":[{"d":"\\ud800"}]}', '{"c":{"s":[{}]},"s":[{},{}]}',
+    '{"s":[{"n":12345678901,"m":1.5E+10,"k":nulll}]}', '{"s":[{"n":12345678901,"m":1.5E+10,"k":1234567}]}', '{"s":[{"n":0123456789}]}', json.dumps(json.dumps(json.dumps(json.dumps(json.dumps(json.dumps({"s": [{}]})))))), json.dumps(json.dumps(json.dumps(json.dumps(json.dumps(json.dumps('{"s":')))))),
+]
+
+
+def test_odd_documents():
+    """Escaped and repeated names, wrapped contents, control characters, strings in strings in strings."""
+    assert indexed(ODD) == [walked(t) for t in ODD]
+    assert [indexed([t])[0] for t in ODD] == [walked(t) for t in ODD]
+    assert len(indexed(ODD)[1]) == 1 and indexed(ODD)[8] is None
+
+
+def test_any_depth():
+    """Brackets fifty thousand deep, and seventeen thousand senses one below another."""
+    brackets = '{"x":' + "[" * 50_000 + "]" * 50_000 + ',"s":[{"d":"a"}]}'
+    wrapped = '{"c":' * 50_000 + '{"s":[{}]}' + "}" * 50_000
+    assert indexed([brackets, wrapped]) == [{("sense", "0", "")}] * 2
+    deep, n = '{"s":[' * 17_000 + "{}" + "]}" * 17_000, 0
+    for found in _flatten(pa.array([deep]), False):
+        n += len(found["row"])
+        assert {*found["kind"]} == {"sense"} and sum(map(len, found["path"])) < 1 << 27
+    assert n == 17_000
+
+
 def test_operator(spark):
     rows = [(1, '{"s":[{"d":"a","n":"1) ","g":{"vs":"Pi.","bf":["f"]}}]}', "k"), (2, None, "k"), (2, None, "k"), (3, "", None), (4, '{"s":[', "z")]
     df = spark.createDataFrame(rows, "seq long, c string, path string")
@@ -112,8 +139,30 @@ def test_very_long_document(spark):
 
 
 def test_texts(spark):
-    df = spark.createDataFrame([(1, '{"s":[{"d":"see <A HREF=x>"},{"d":"none"},{"n":"href"}]}'), (2, '"{\\"s\\":[{\\"d\\":\\"href\\"}]}"'), (3, "{"), (4, None)], "seq long, c string")
-    assert {(r.seq, tuple(r.texts)) for r in sense_texts(df, "c", "seq", containing="href").collect()} == {(1, ("see <A HREF=x>",)), (2, ("href",))}
+    rows = [
+        (1, '{"s":[{"d":"see <A HREF=x>"},{"d":"none"},{"n":"href"}]}'), (2, '"{\\"s\\":[{\\"d\\":\\"href\\"}]}"'), (3, "{"), (4, None), (5, '{"s":[{"d":"<a \\u0068ref=x>"}]}'), (6, '{"s":[{"\\u0064":"h\\u0052ef"}]}'),
+        (7, '{"c":{"c":{"c":{"c":{"s":{"d":"href","d":"b href"}}}}}}'), (8, json.dumps(json.dumps(json.dumps(json.dumps(json.dumps(json.dumps('{"s":{"d":"href"}}'))))))), (9, '{"s":[{"d":"\\u05d0 h ref"}]}'),
+    ]
+    df = spark.createDataFrame(rows, "seq long, c string")
+    for needle in ("href", "h", "HREF=X", "\u05d0"):
+        got = {(r.seq, tuple(r.texts)) for r in sense_texts(df, "c", "seq", containing=needle).collect()}
+        every = flatten_senses(df, "c", "seq", text=True).where("kind = 'sense'").select("seq", "path", "d").collect()
+        want = {}
+        for r in sorted(every):
+            if r.d and needle.lower() in r.d.lower():
+                want.setdefault(r.seq, []).append(r.d)
+        assert got == {(k, tuple(v)) for k, v in want.items()}, needle
+        assert needle != "href" or {k for k, _ in got} == {1, 2, 5, 6, 7, 8}
+
+
+def test_texts_of_the_data(spark, duck):
+    from conftest import DATA
+
+    df = spark.read.parquet(f"{DATA}/entries.parquet")
+    for needle in ("href", "ref-link", "word-link"):
+        got = sense_texts(df, "c", "seq", containing=needle).selectExpr("seq", "explode(texts) d").collect()
+        want = flatten_senses(df, "c", "seq", text=True).where(f"contains(lower(d), '{needle}')").select("seq", "d").collect()
+        assert want and sorted(got) == sorted(want)
 
 
 @pytest.mark.parametrize("chunk", [1, 50, 10_000])
