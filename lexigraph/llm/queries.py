@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.links import anchors, attribute
 from ..operators.nested import sense_texts
 from ..session import cut, table
-from .canonical import list_forms, map_to_list, plain
+from .canonical import ambiguous_forms, list_forms, map_to_list, plain
 from .encode import encode
 from .looks import ALIKE, IGNORABLE, look_alikes, look_form
 from .mix import mix, shares, sized, supply
@@ -41,9 +41,12 @@ def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited.where("ref_no is not null").withColumn("work", F.regexp_replace(work, r"^[(\s]+|[.)\s]+$", ""))
 
 
+def _works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lookup").where(F.col("grp").isin(*WORKS))
+
+
 def _mapped(cited: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    works = table(spark, sf_dir, "lookup").where(F.col("grp").isin(*WORKS))
-    return map_to_list(cited, "work", list_forms(works, "value", "key"))
+    return map_to_list(cited, "work", list_forms(_works(spark, sf_dir), "value", "key"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +61,11 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cited.join(mapped, "work", "left_anti").groupBy("work").agg(F.count("*").alias("citations"))
 
 
+def p4_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reported: the forms that several works share, and that name none of them."""
+    return ambiguous_forms(_works(spark, sf_dir), "value", "key")
+
+
 # p5
 
 
@@ -128,7 +136,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_unmatched, p5_found, p5_forms, p6_ids, p7_found, p7_mix, p7_shares, p8_found, p8_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_unmatched, p4_ambiguous, p5_found, p5_forms, p6_ids, p7_found, p7_mix, p7_shares, p8_found, p8_pieces)}
 
 _FORMS = f"WITH f AS (SELECT seq, hw, {_forms_sql('hw')} AS form FROM entries)"
 
