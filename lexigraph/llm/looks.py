@@ -1,8 +1,8 @@
 """Texts that look alike brought to one form: compatibility forms, combining marks, invisible characters, blanks, look-alikes.
 
-The form is computed once for each distinct value of an Arrow batch. Pairs are found from the distinct spellings: spellings
-of one form are paired with each other first, then each spelling with its rows, so that repeated rows of one spelling are
-never compared with each other.
+Pairs are found from the distinct spellings, whose form is computed once each: spellings of one form are paired with each
+other first, then each spelling with its rows, so that repeated rows of one spelling are never compared with each other. A
+column of forms alone (``look_form``) is computed row by row without a shuffle, once for each distinct value of an Arrow batch.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Ranges of default-ignorable code points, which print nothing.
@@ -60,8 +60,9 @@ def look(text: str | None, fold_case: bool = False) -> str | None:
     return unicodedata.normalize("NFC", text).strip(" ")
 
 
-def look_form(c: Column, fold_case: bool = False) -> Column:
-    """``look`` of a column, computed once for each distinct value of a batch.
+def look_form(c: Column, fold_case: bool = False, once: bool = False) -> Column:
+    """``look`` of a column, computed once for each distinct value of a batch; ``once`` keeps the optimiser from moving or
+    repeating it.
 
     Null stays null; texts that print nothing become ''; idempotent; texts of any length are taken whole.
     """
@@ -73,7 +74,7 @@ def look_form(c: Column, fold_case: bool = False) -> Column:
             made = pd.Series([look(v, fold_case) for v in values], dtype=object)
             yield pd.Series([None if k < 0 else made[k] for k in codes], dtype=object)
 
-    return forms(c)
+    return (forms.asNondeterministic() if once else forms)(c)
 
 
 def look_alikes(df: DataFrame, text_col: str, id_col: str, fold_case: bool = False) -> DataFrame:
@@ -83,9 +84,10 @@ def look_alikes(df: DataFrame, text_col: str, id_col: str, fold_case: bool = Fal
     several rows counts for each. The work follows the number of pairs returned, not the square of a group.
     """
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where("__text <> ''")
-    spelt = rows.select("__text").distinct().select("__text", look_form(F.col("__text"), fold_case).alias("__look")).where("__look <> ''")
-    many = spelt.groupBy("__look").agg(F.min("__text").alias("__least"), F.max("__text").alias("__most")).where("__least <> __most").select("__look")
-    spelt = spelt.join(many, "__look", "left_semi")
+    # The form is marked as not deterministic, so that no filter on it is moved below the distinct spellings.
+    spelt = rows.select("__text").distinct().select("__text", look_form(F.col("__text"), fold_case, once=True).alias("__look")).where("__look <> ''")
+    of_look = Window.partitionBy("__look")
+    spelt = spelt.withColumn("__least", F.min("__text").over(of_look)).withColumn("__most", F.max("__text").over(of_look)).where("__least < __most").select("__look", "__text")
     other = spelt.select("__look", F.col("__text").alias("__other"))
     pairs = spelt.join(other, "__look").where("__text < __other").select("__text", "__other")
     left = rows.join(pairs, "__text").select(F.col("__id").alias("__a"), F.col("__other"))

@@ -47,6 +47,20 @@ def test_hot_spelling_is_not_squared(spark):
     assert pairs.count() == 60_000 and "CartesianProduct" not in pairs._jdf.queryExecution().executedPlan().toString()
 
 
+def test_each_spelling_is_looked_at_once(spark, tmp_path):
+    """One Python node in the executed plan, above the distinct spellings; Python sees as many values as there are spellings."""
+    spark.range(6_000).select(F.col("id").alias("seq"), F.concat(F.lit("א"), (F.col("id") % 300).cast("string"), F.when(F.col("id") % 7 == 0, "\u200b").otherwise("")).alias("hw")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    pairs = look_alikes(df, "hw", "seq")
+    assert pairs.count() == sum(len([i for i in range(k, 6_000, 300) if i % 7 == 0]) * len([i for i in range(k, 6_000, 300) if i % 7]) for k in range(300))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.rindex("HashAggregate")
+    spellings = df.select("hw").distinct().count()
+    graph = pairs._jdf.queryExecution().executedPlan().toString()
+    assert spellings == 600 and "ReusedExchange" in graph
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_same_as_sql(spark, duck, name):
     same_rows(queries.QUERIES[name](spark, DATA), duck, queries.ORACLE[name])
