@@ -38,7 +38,7 @@ def default_vocabulary() -> str:
 def _classes() -> np.ndarray:
     """The class of every code point."""
     table = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x32000)]))
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for m in regex.finditer(pattern, every):
             table[np.frombuffer(m.group().encode("utf-32-le"), np.uint32)] = kind

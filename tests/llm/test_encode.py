@@ -34,6 +34,16 @@ def encoded(texts):
     return [x.ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
 
 
+def test_every_code_point_has_its_class():
+    import regex
+
+    table = vocabulary(default_vocabulary()).classes
+    for code in [*range(0x31F00, 0x32500), 0x20000, 0x2FA1D, 0xE0100, 0x10FFFD, 0x1D7CE, 0x661, 0x41, 0x5D0, 0x20]:
+        c = chr(code)
+        assert table[code] == (0 if regex.match(r"\p{L}", c) else 1 if regex.match(r"\p{N}", c) else 3 if c == " " else 2), hex(code)
+    assert table[0x32000] == 0 == table[0x323AF]
+
+
 def test_odd_texts(reference):
     assert encoded(TEXTS) == [reference.encode_ordinary(t) for t in TEXTS]
     assert [encoded([t])[0] for t in TEXTS] == [reference.encode_ordinary(t) for t in TEXTS]
