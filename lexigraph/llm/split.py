@@ -4,6 +4,8 @@ Each token of a text becomes one letter of a boundary string: how strong the bou
 sentence or line, ``w`` word, ``c`` between characters only, ``x`` within a character). A regular expression with bounded
 quantifiers, whose alternatives are ordered by boundary strength, then takes the string apart; an SQL aggregate over the
 parts looks back for the overlap, and byte offsets turn tokens into text. Everything happens within the row: no shuffle.
+The time is linear in the length of a text: the aggregate carries the letters that the overlap may reach, not the string,
+its results are gathered in blocks, and a text is cut before its pieces become rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from .encode import BLANK, Encoded, Vocabulary, _run, count_tokens
 #: Signs that end a sentence, and signs that may follow them.
 ENDERS, CLOSERS = ".!?…׃؟。！？", "\"'”’)]»״׳"
 
+#: Pieces of a text that are gathered at a time.
+BLOCK = 256
+
 
 def boundaries(x: Encoded, ends: np.ndarray) -> np.ndarray:
     """The letter of the boundary after each token, by the byte ``ends`` of the tokens."""
@@ -90,20 +95,26 @@ def split_texts(df: DataFrame, text_col: str, *keep: str, limit: int = 512, over
 
     coded = _run(df, text_col, keep, added, "`__text` string, `__n` bigint, `__marks` string, `__ends` array<int>", path, make)
     parts = F.when(F.col("__n") > limit, F.regexp_extract_all("__marks", F.lit(cutting_pattern(limit, overlap)), F.lit(0)))
+    # Of the state: s and e, begin and end of the piece before; tail, the letters up to e that an overlap may reach.
+    step = f"""(a, i) ->
+        transform(array(greatest(a.e - {overlap}, a.s)), lo ->
+            transform(array(left(right(a.tail, a.e - lo + 1), a.e - lo)), back ->
+                transform(array(case when lo = 0 then 0 when regexp_instr(back, '[psw]') > 0 then lo + regexp_instr(back, '[psw]') - 1 when regexp_instr(back, '[^x]') > 0 then lo + regexp_instr(back, '[^x]') - 1 else a.e end), s ->
+                    named_struct('all', concat(a.all, array(named_struct('s', s, 'c', a.e, 'e', a.e + length(element_at(__parts, i))))), 's', s, 'e', a.e + length(element_at(__parts, i)), 'tail', right(concat(a.tail, element_at(__parts, i)), {overlap + 1})))[0])[0])[0]"""
     spans = F.expr(f"""
-        aggregate(__parts, named_struct('all', cast(array() as array<struct<s:int,c:int,e:int>>), 's', 0, 'e', 0), (a, x) ->
-            transform(array(greatest(a.e - {overlap}, a.s)), lo ->
-                transform(array(regexp_instr(substring(__marks, greatest(lo, 1), a.e - lo), '[psw]')), k ->
-                    transform(array(case when lo = 0 then 0 when k > 0 then lo + k - 1 when regexp_instr(substring(__marks, lo, a.e - lo), '[^x]') > 0 then lo + regexp_instr(substring(__marks, lo, a.e - lo), '[^x]') - 1 else a.e end), s ->
-                        named_struct('all', concat(a.all, array(named_struct('s', s, 'c', a.e, 'e', a.e + length(x)))), 's', s, 'e', a.e + length(x)))[0])[0])[0],
-            a -> a.all)""")
-    whole = F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("c"), F.col("__n").cast("int").alias("e")))
-    cut = coded.where("__n > 0").withColumn("__parts", parts).withColumn("__spans", F.when(F.col("__n") > limit, spans).otherwise(whole))
-    one = cut.select(*keep, "__text", "__n", "__ends", F.size("__spans").alias("n_pieces"), F.posexplode("__spans").alias("piece_no", "x"))
-    at = lambda i: F.when(i == 0, 0).otherwise(F.element_at("__ends", F.greatest(i, F.lit(1))))
-    raw = F.substring(F.col("__text").cast("binary"), at(F.col("x.s")) + 1, at(F.col("x.e")) - at(F.col("x.s"))).cast("string")
-    text = F.when(F.col("n_pieces") == 1, F.col("__text")).otherwise(raw)
-    pieces = one.select(*keep, "piece_no", (F.col("x.c") - F.col("x.s")).cast("bigint").alias("overlap"), "n_pieces", text.alias("text"), (F.col("x.e") - F.col("x.s")).cast("bigint").alias("n_tokens"))
+        flatten(aggregate(sequence(0, (size(__parts) - 1) div {BLOCK}), named_struct('all', cast(array() as array<array<struct<s:int,c:int,e:int>>>), 's', 0, 'e', 0, 'tail', ''), (o, b) ->
+            transform(array(aggregate(sequence(int(b * {BLOCK} + 1), int(least((b + 1) * {BLOCK}, size(__parts)))), named_struct('all', cast(array() as array<struct<s:int,c:int,e:int>>), 's', o.s, 'e', o.e, 'tail', o.tail), {step})), r ->
+                named_struct('all', concat(o.all, array(r.all)), 's', r.s, 'e', r.e, 'tail', r.tail))[0],
+            o -> o.all))""")
+    cut = coded.where("__n > 0").withColumn("__parts", parts).withColumn("__spans", F.when(F.col("__n") > limit, spans))
+    byte = lambda i: F.when(i == 0, 0).otherwise(F.element_at("__ends", F.greatest(i, F.lit(1))))
+    piece = lambda raw: lambda x: F.struct((x.c - x.s).alias("overlap"), F.substring(raw, byte(x.s) + 1, byte(x.e) - byte(x.s)).cast("string").alias("text"), (x.e - x.s).alias("n"))
+    many = F.get(F.transform(F.array(F.col("__text").cast("binary")), lambda raw: F.transform("__spans", piece(raw))), F.lit(0))
+    whole = F.array(F.struct(F.lit(0).alias("overlap"), F.col("__text").alias("text"), F.col("__n").cast("int").alias("n")))
+    held = cut.select(*keep, F.coalesce(F.size("__spans"), F.lit(1)).alias("__pieces"), F.when(F.col("__n") > limit, many).otherwise(whole).alias("__held"))
+    # An outer explode, as the optimiser would compute the pieces once more to filter empty ones out of a plain one.
+    one = held.select(*keep, "__pieces", F.posexplode_outer("__held").alias("piece_no", "__x"))
+    pieces = one.select(*keep, "piece_no", F.col("__x.overlap").cast("bigint").alias("overlap"), F.when(F.col("__pieces") > 0, F.col("__pieces")).otherwise(1).alias("n_pieces"), F.col("__x.text").alias("text"), F.col("__x.n").cast("bigint").alias("n_tokens"))
     if not recount:
         return pieces
     again = pieces.drop("n_tokens").withColumn("__piece", F.col("text"))

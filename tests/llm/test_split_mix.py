@@ -5,9 +5,11 @@ import itertools
 import os
 import random
 import re
+import time
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from lexigraph.llm.encode import default_vocabulary, vocabulary
 from lexigraph.llm.mix import mix, shares, sized, source_key, supply
@@ -60,6 +62,29 @@ def test_pieces(spark):
                 check(got[i], text, limit, overlap)
 
 
+def test_many_pieces_in_blocks(spark):
+    """More pieces than a block, short parts among them, so that overlaps reach over several parts and over blocks."""
+    rng = random.Random(8)
+    text = "".join(rng.choice(["a ", "word ", "longer. ", "q" * rng.randint(1, 90), "\n\n"]) for _ in range(4500))
+    for limit, overlap in ((16, 7), (24, 20)):
+        got = pieces_of(spark, [text], limit=limit, overlap=overlap)[0]
+        assert len(got) > 300
+        check(got, text, limit, overlap)
+
+
+def test_time_is_linear(spark):
+    """Ten times the text takes about ten times as long, at 3 and 30 MB in one row."""
+    unit = "".join(f"word{i % 97} and the {i % 89}th. " + ("\n\n" if i % 50 == 0 else "") for i in range(5_000))
+    took = {}
+    for size in (1, 1, 3, 30):
+        df = spark.createDataFrame([(1, unit)], "id long, text string").select("id", F.repeat("text", F.lit(size * 1_000_000 // len(unit))).alias("text"))
+        began = time.perf_counter()
+        n, tokens, most = split_texts(df, "text", "id").selectExpr("count(*)", "sum(n_tokens - overlap)", "max(n_tokens)").first()
+        took[size] = time.perf_counter() - began
+        assert n > size * 300 and most <= 512
+    assert took[30] <= 11 * max(took[3], 1.0), took
+
+
 def test_natural_boundaries(spark):
     text = "\n\n".join(" ".join(["word"] * 9) + "." for _ in range(12))
     got = pieces_of(spark, [text], limit=40, overlap=6)[0]
