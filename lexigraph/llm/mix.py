@@ -2,7 +2,7 @@
 
 The weight of each source may vary over the run, as a piecewise linear function of the position from 0 to 1. Its integral is
 the cumulative demand of tokens; inverting it gives the position at which each text of the source is due, and sorting all
-texts by position gives the corpus. The place of a text within its source is a prefix sum of tokens in hashed order, taken
+texts by position gives the corpus. A source that cannot reach its weight runs out before the end of the run. The place of a text within its source is a prefix sum of tokens in hashed order, taken
 in two steps (sums of buckets, then within buckets), so that a source of any size is spread over many tasks.
 """
 
@@ -70,45 +70,55 @@ def _position(q: Column, u: Column, w: Column, c: Column) -> Column:
     return F.least(u0 + 2 * left / (w0 + F.sqrt(F.greatest(w0 * w0 + 2 * slope * left, F.lit(0.0)))), F.lit(1.0))
 
 
-def mix(docs: DataFrame, targets: DataFrame, schedule: Mapping[str, Sequence[tuple[float, float]]] | None = None, path: str | None = None, columns: Mapping[str, str] | None = None) -> DataFrame:
-    """The corpus, sorted: ``position`` (0 to 1), ``doc_id, source, copy`` (0 for the first use) and ``n_tokens``.
+def mix(docs: DataFrame, targets: DataFrame, schedule: Mapping[str, Sequence[tuple[float, float]]] | None = None, path: str | None = None, columns: Mapping[str, str] | None = None, every: bool = False) -> DataFrame:
+    """The corpus, sorted: ``position`` (0 to 1), ``doc_id, source, copy`` (0 for the first use), ``n_tokens``, and the tokens that
+    its source is asked for (``wanted``) and has given up to and with this text (``given``).
 
     Of every text one document is used (of exact copies the smallest doc_id, with its source), so that no text is used more
-    than ``max_repeats`` times; a source is used until its weight of the size of all listed documents is reached, or, where
-    it cannot reach it, as often as allowed. ``schedule`` gives for some sources (place, rate) points from 0 to 1; the others
-    are spread evenly. The share of a source over the whole run does not depend on its schedule.
+    than ``max_repeats`` times; with ``every`` each document counts for itself. A source is used until its weight of the size of
+    all listed documents is reached, or, where it cannot reach it, as often as allowed; its texts then end before the run
+    does. ``schedule`` gives for some sources (place, rate) points from 0 to 1; the others are spread evenly. The share of a
+    source over the whole run does not depend on its schedule.
 
     Defined cases: null, empty and unlisted sources, null and empty texts are left out; no documents give an empty corpus;
-    the order within a source is that of a hash of the text, so it does not depend on the input order.
+    the order within a source is that of a hash of the text, so it does not depend on the input order; null weights and
+    repeats count as 0.
     """
-    texts, size = _placed(docs, targets, path, columns)
+    texts = _placed(docs, targets, path, columns, every)
     knots = _knots(schedule or {})
     flat = ([0.0, 1.0], [1.0, 1.0], [0.0, 1.0])
-    names = [r["source"] for r in size]
-    choose = lambda k: F.coalesce(*(F.when(F.col("source") == s, F.array(*map(F.lit, knots[s][k]))) for s in names if s in knots), F.array(*map(F.lit, flat[k])))
-    due = (F.col("begin") + F.col("copy") * F.col("tokens")) / F.col("demand")
-    copies = F.sequence(F.lit(0), F.ceil((F.col("demand") - F.col("begin")) / F.col("tokens")).cast("int") - 1)
-    used = texts.where(F.col("begin") < F.col("demand")).withColumn("copy", F.explode(copies))
-    return used.select(_position(due, choose(0), choose(1), choose(2)).alias("position"), "doc_id", "source", "copy", "n_tokens").orderBy("position", "source", "doc_id")
+    choose = lambda k: F.coalesce(*(F.when(F.col("source") == s, F.array(*map(F.lit, v[k]))) for s, v in knots.items()), F.array(*map(F.lit, flat[k])))
+    due = (F.col("begin") + F.col("copy") * F.col("tokens")) / F.col("wanted")
+    demand = F.least("wanted", F.col("tokens") * F.col("max_repeats"))
+    copies = F.sequence(F.lit(0), F.ceil((demand - F.col("begin")) / F.col("tokens")).cast("int") - 1)
+    used = texts.where(F.col("begin") < demand).withColumn("copy", F.explode(copies))
+    given = F.col("begin") + F.col("copy") * F.col("tokens") + F.col("n_tokens")
+    return used.select(_position(due, choose(0), choose(1), choose(2)).alias("position"), "doc_id", "source", "copy", "n_tokens", "wanted", given.alias("given")).orderBy("position", "source", "doc_id")
 
 
-def _placed(docs: DataFrame, targets: DataFrame, path: str | None, columns: Mapping[str, str] | None) -> tuple[DataFrame, list]:
-    """One document of each text with the tokens of its source before it; the numbers of the sources (one row a target)."""
+def _placed(docs: DataFrame, targets: DataFrame, path: str | None, columns: Mapping[str, str] | None, every: bool) -> DataFrame:
+    """The documents used, with the tokens of their source before them (``begin``) and the numbers of the source."""
     all_ = cut(sized(docs, targets, path=path, **(columns or {})))
-    if not bounded(targets, BROADCAST_ROWS):
-        raise ValueError(f"more than {BROADCAST_ROWS} targets")
-    wanted = {r["source"]: r["wanted"] for r in supply(all_, targets).collect()}  # one row a target
-    texts = all_.where("n_tokens > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("x")).select("x.*", F.xxhash64("digest").alias("h"))
-    size = [r for r in supply(texts, targets).collect() if r["tokens"]]
-    demand = {r["source"]: min(float(wanted[r["source"]]), float(r["tokens"] * r["max_repeats"])) for r in size}
-    spark = docs.sparkSession
-    plan = spark.createDataFrame([(r["source"], r["tokens"], demand[r["source"]], 1 + r["n_docs"] // BUCKET_ROWS) for r in size], "source string, tokens bigint, demand double, buckets bigint")
-    rows = texts.join(F.broadcast(plan), "source").withColumn("bucket", F.pmod("h", "buckets"))
+    texts = all_.where("n_tokens > 0").select("doc_id", "source", "n_tokens", F.xxhash64("digest").alias("h"), "digest")
+    if not every:
+        texts = texts.groupBy("digest").agg(F.min(F.struct("doc_id", "source", "n_tokens", "h")).alias("x")).select("x.*")
+    wanted = supply(all_, targets).select("source", F.coalesce("wanted", F.lit(0.0)).alias("wanted"))
+    sums = texts.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), (1 + F.floor(F.count("*") / BUCKET_ROWS)).alias("buckets"))
+    plan = sums.join(wanted, "source").join(targets.select("source", F.coalesce("max_repeats", F.lit(0)).alias("max_repeats")), "source")
+    rows = texts.drop("digest").join(_small(plan), "source").withColumn("bucket", F.pmod("h", "buckets"))
     sums = rows.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("__sum"))
     before = sums.select("source", "bucket", (F.sum("__sum").over(Window.partitionBy("source").orderBy("bucket")) - F.col("__sum")).alias("__before"))
     order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id")
-    placed = rows.join(before, ["source", "bucket"]).withColumn("begin", F.col("__before") + F.sum("n_tokens").over(order) - F.col("n_tokens"))
-    return placed, size
+    return rows.join(before, ["source", "bucket"]).withColumn("begin", F.col("__before") + F.sum("n_tokens").over(order) - F.col("n_tokens"))
+
+
+def short_sources(corpus: DataFrame, targets: DataFrame) -> DataFrame:
+    """The targets whose texts end before the run does: ``source, wanted, given``. A source with a weight but without a text in
+    the corpus is short too, where the corpus holds any."""
+    ends = corpus.groupBy("source").agg(F.max("given").alias("given"), F.max("wanted").alias("wanted"))
+    any_ = ends.agg(F.count("*").alias("__n"))  # one row
+    own = targets.select("source", "weight").join(ends, "source", "left").join(F.broadcast(any_))
+    return own.where("coalesce(given < wanted, weight > 0 and __n > 0)").select("source", "wanted", F.coalesce("given", F.lit(0)).alias("given"))
 
 
 def shares(corpus: DataFrame, targets: DataFrame) -> DataFrame:

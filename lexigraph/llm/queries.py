@@ -13,7 +13,7 @@ from ..session import cut, table
 from .canonical import ambiguous_forms, list_forms, map_to_list, plain
 from .encode import encode
 from .looks import ALIKE, IGNORABLE, look_alikes, look_form
-from .mix import mix, shares, sized, supply
+from .mix import mix, shares, short_sources
 from .split import split_texts
 
 #: Fixed values of this project's data.
@@ -108,13 +108,14 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources whose texts end before the run does, when each document counts for itself."""
     targets = table(spark, sf_dir, "mix_targets")
-    return supply(sized(table(spark, sf_dir, "documents"), targets), targets).where("not reached").select("source")
+    return short_sources(mix(table(spark, sf_dir, "documents"), targets, SCHEDULE, every=True), targets).select("source")
 
 
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus in training order."""
-    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), SCHEDULE)
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), SCHEDULE).drop("wanted", "given")
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:

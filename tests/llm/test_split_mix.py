@@ -12,7 +12,7 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 from lexigraph.llm.encode import default_vocabulary, vocabulary
-from lexigraph.llm.mix import mix, shares, sized, source_key, supply
+from lexigraph.llm.mix import mix, shares, short_sources, sized, source_key, supply
 from lexigraph.llm.split import cutting_pattern, split_texts
 from test_encode import encoded
 
@@ -161,13 +161,39 @@ def test_mix(docs, targets, schedule):
     for s in ("big_one", "small"):
         assert abs(used[s] - wanted[s]) <= longest
     assert all(n == 3 for i, n in uses.items() if 2000 <= i < 3000) and sum(1 for i in uses if 2000 <= i < 3000) == 10
+    end = {s: max(r.position for r in got if r.source == s) for s in used}
+    assert end["rare"] < 0.9 and end["big_one"] > 0.95 and end["small"] > (0.8 if schedule else 0.95)
     half = sum(r.n_tokens for r in got if r.source == "small" and r.position < 0.5) / used["small"]
     assert abs(half - (0.7 if schedule else 0.5)) < 0.05
     report = {r.source: r for r in shares(mix(docs, targets, schedule), targets).collect()}
     assert report["rare"].most_uses == 3 and report["none"].uses == 0 and abs(sum(r.share for r in report.values()) - 1) < 1e-9
 
 
+def test_short_sources_run_out(spark, docs, targets):
+    """Those found from the placed corpus are those whose tokens do not suffice, and their shares are what they had."""
+    for weights in ((0.5, 0.3, 0.1, 0.1), (0.05, 0.9, 0.05, 0.0), (0.9, 0.05, 0.05, 0.0)):
+        own = spark.createDataFrame([(s.replace(" ", "_"), w, m) for (s, _, m), w in zip(TARGETS, weights)], "source string, weight double, max_repeats int")
+        need = {r.source: r for r in supply(sized(docs, own), own).collect()}
+        corpus = mix(docs, own, every=True)
+        short = {r.source: r for r in short_sources(corpus, own).collect()}
+        assert set(short) == {s for s, r in need.items() if not r.reached}
+        assert all(r.given == need[s].tokens * next(m for t, _, m in TARGETS if t.replace(" ", "_") == s) for s, r in short.items())
+        report = {r.source: r for r in shares(corpus, own).collect()}
+        for s, r in need.items():
+            if r.reached and r.wanted:
+                assert 0 <= report[s].tokens - r.wanted < 60
+
+
+def test_many_targets_are_joined(monkeypatch, docs, targets):
+    from lexigraph.llm import mix as module
+
+    want = sorted(map(tuple, mix(docs, targets).collect()))
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 2)
+    assert sorted(map(tuple, mix(docs, targets).collect())) == want
+
+
 def test_mix_of_nothing(spark, docs, targets):
+    assert short_sources(mix(docs.limit(0), targets), targets).count() == 0
     assert mix(docs.limit(0), targets).count() == 0
     assert {r.reached for r in supply(sized(docs.limit(0), targets), targets).collect()} == {True}
     with pytest.raises(ValueError):
