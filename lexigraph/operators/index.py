@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import normalize_hebrew, normalize_reference
@@ -11,10 +11,14 @@ from ..functions.normalize import normalize_hebrew, normalize_reference
 SPAN = 1_000_000
 
 
+def page_of(p: Column) -> Column:
+    """The printed page of a text; null for 0 and for what is no plain number."""
+    return F.nullif(F.regexp_extract(F.coalesce(p, F.lit("")), r"^\s*([0-9]+)\s*$", 1).try_cast("int"), F.lit(0))
+
+
 def with_keys(entries: DataFrame) -> DataFrame:
     """Entries with ``norm`` (key of the headword; null headwords have '') and ``page`` (printed page; 0 and others null)."""
-    page = F.regexp_extract(F.coalesce(F.col("p"), F.lit("")), r"^\s*([0-9]+)\s*$", 1).try_cast("int")
-    return entries.withColumn("norm", normalize_hebrew(F.col("hw"))).withColumn("page", F.nullif(page, F.lit(0)))
+    return entries.withColumn("norm", normalize_hebrew(F.col("hw"))).withColumn("page", page_of(F.col("p")))
 
 
 def entry_refs(entries: DataFrame) -> DataFrame:

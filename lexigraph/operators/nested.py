@@ -426,12 +426,12 @@ def flatten_senses(df: DataFrame, json_col: str | Column, *keep: str, text: bool
     return src.mapInArrow(run, spark_types)
 
 
-def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out: str = "texts") -> DataFrame:
+def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out: str = "texts", every: bool = False) -> DataFrame:
     """One row for each record of ``df`` with a definition (``d`` of a sense) that contains ``containing``, in ASCII and
     without regard to case: the columns ``keep`` and all such definitions as an array ``out``, in file order.
 
     A column ``out`` among ``keep`` is replaced. Reads the sense trees as ``flatten_senses`` does, and finds what a filter over
-    its ``d`` finds; unreadable trees, and trees without such a definition, give no row.
+    its ``d`` finds; unreadable trees, and trees without such a definition, give no row, or with ``every`` a null array.
     """
     keep = tuple(k for k in keep if k != out)
     src = spread(df.select(*keep, F.col(json_col).cast("string").alias("__json")))
@@ -441,6 +441,8 @@ def sense_texts(df: DataFrame, json_col: str, *keep: str, containing: str, out:
             held: dict[int, list[str]] = {}
             for row, text in _definitions(batch.column(batch.num_columns - 1), containing):
                 held.setdefault(row, []).append(text)
+            if every:
+                held = {row: held.get(row) for row in range(batch.num_rows)}
             if held:
                 rows = pa.array(list(held), pa.int64())
                 columns = [batch.column(i).take(rows) for i in range(batch.num_columns - 1)]

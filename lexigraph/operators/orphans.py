@@ -12,21 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def intervals(rows: DataFrame, removals: DataFrame, key: Column, removed_key: Column, order: str, loaded: str = "loaded_at", removed: str = "removed_at") -> DataFrame:
+def intervals(rows: DataFrame, removals: DataFrame, key: Column, removed_key: Column, order: str, *newest: str, loaded: str = "loaded_at", removed: str = "removed_at") -> DataFrame:
     """The validity interval of every key: ``key``, ``valid_from`` (first delivery), ``valid_to`` (its last removal if later
-    than every delivery, else null: it is valid still) and ``top`` (highest ``order`` of its rows).
+    than every delivery, else null: it is valid still), and the columns ``newest`` of its row with the highest ``order``, the
+    one that refers.
 
     Null keys have no interval. Repeated deliveries and removals count once; a removal of an unknown key has no effect.
     """
-    seen = rows.select(key.alias("key"), F.col(loaded).alias("__at"), F.col(order).alias("__order")).where("key is not null").groupBy("key").agg(F.min("__at").alias("valid_from"), F.max("__at").alias("__last"), F.max("__order").alias("top"))
+    held = rows.select(key.alias("key"), F.col(loaded).alias("__at"), F.col(order).alias("__order"), F.struct(F.lit(0).alias("__"), *newest).alias("__row")).where("key is not null")
+    seen = held.groupBy("key").agg(F.min("__at").alias("valid_from"), F.max("__at").alias("__last"), F.max_by("__row", "__order").alias("__row"))
     gone = removals.select(removed_key.alias("key"), F.col(removed).alias("__gone")).where("key is not null").groupBy("key").agg(F.max("__gone").alias("__gone"))
-    return seen.join(gone, "key", "left").select("key", "valid_from", F.when(F.col("__gone") > F.coalesce("__last", F.lit("0001-01-01").cast("timestamp")), F.col("__gone")).alias("valid_to"), "top")
-
-
-def current(rows: DataFrame, spans: DataFrame, key: str, order: str) -> DataFrame:
-    """The rows that refer: of each valid key the one with the highest ``order``."""
-    live = spans.where("valid_to is null").select(F.col("key").alias("__key"), F.col("top").alias("__top"))
-    return rows.join(live, (F.col(key) == F.col("__key")) & (F.col(order) == F.col("__top"))).drop("__key", "__top")
+    valid_to = F.when(F.col("__gone") > F.coalesce("__last", F.lit("0001-01-01").cast("timestamp")), F.col("__gone"))
+    return seen.join(gone, "key", "left").select("key", "valid_from", valid_to.alias("valid_to"), *(F.col("__row")[c].alias(c) for c in newest))
 
 
 def orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:

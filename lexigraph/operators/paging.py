@@ -29,8 +29,8 @@ def initial_window(entries: DataFrame, page: int, ordinal: int = -1, count: int
     """The first chunk: from the ordinal if there is one, else from the start of the page; nothing for a missing page."""
     if ordinal >= 0:
         return rows_range(entries, ordinal, count)
-    start = F.broadcast(entries.where(F.col("page") == page).agg(F.min("seq").alias("__start")))
-    return entries.join(start, (F.col("seq") >= F.col("__start")) & (F.col("seq") < F.col("__start") + count)).drop("__start").orderBy("seq")
+    start = page_start(entries, page).first()["start"]  # one number, so that the range reaches the scan
+    return rows_range(entries, start, count if start >= 0 else 0)
 
 
 def forward(end: int, total: int, count: int = CHUNK) -> tuple[int, int]:

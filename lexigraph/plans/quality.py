@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.links import attribute, open_tags
 from ..functions.normalize import FINALS, FORMS_OF, LETTERS_OF, ORDINARY, SEVERAL, WS, entry_id, hebrew_letters, read_code, sage_id
-from ..operators.fill import Field, fill_from_groups
+from ..operators.fill import Field, fill_from_groups, filled_values
+from ..operators.index import page_of
 from ..operators.nested import flatten_senses, sense_texts
-from ..operators.orphans import by_table_and_month, current, intervals, orphans
-from ..session import table
+from ..operators.orphans import by_table_and_month, intervals, orphans
+from ..session import cut, table
 
 #: The codes of parts of speech and genders, and the parts of speech that have a gender.
 PARTS, GENDERS, GENDERED = ("n", "v", "a", "av", "pt", "ij", "cj"), ("m", "f"), ("n", "a", "pt")
@@ -20,27 +21,26 @@ PARTS, GENDERS, GENDERED = ("n", "v", "a", "av", "pt", "ij", "cj"), ("m", "f"),
 
 
 def p1_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orphan references with reason, date of the reference and first delivery of the target."""
+    """All orphan references with reason, date of the reference and first delivery of the target. The intervals, with what the
+    newest row of each key refers to, are made once and written to the checkpoint folder: they are both sides of the merge."""
     entries, sages, removals = (table(spark, sf_dir, t) for t in ("entries", "sages", "removals"))
     gone = lambda t: removals.where(F.col("tbl") == t)
-    entry_spans = intervals(entries, gone("entries"), entry_id(F.col("id")), entry_id(F.col("rid")), "seq")
-    sage_spans = intervals(sages, gone("sages"), sage_id(F.col("id")), sage_id(F.col("rid")), "pos")
 
     hrefs = F.transform(F.flatten(F.transform("texts", open_tags)), lambda t: attribute(t, "href"))
     targets = F.array_distinct(F.transform(F.filter(hrefs, lambda h: h.contains("#rid:") | h.contains("#sage:")), _target))
-    linked = sense_texts(entries.select(entry_id(F.col("id")).alias("src_key"), "seq", F.to_date("loaded_at").alias("ref_date"), "c"), "c", "src_key", "seq", "ref_date", containing="href")
-    linked = linked.select("src_key", "seq", "ref_date", targets.alias("targets"))
-    from_entries = current(linked, entry_spans, "src_key", "seq").select(F.lit("entries").alias("src_table"), "src_key", F.explode("targets").alias("t"), "ref_date").select("src_table", "src_key", "t.target_table", "t.target_key", "ref_date")
+    linked = sense_texts(entries.select("id", "seq", "loaded_at", "c"), "c", "id", "seq", "loaded_at", containing="href", every=True)
+    linked = linked.select("id", "seq", "loaded_at", targets.alias("targets"), F.to_date("loaded_at").alias("ref_date"))
+    entry_spans = intervals(linked, gone("entries"), entry_id(F.col("id")), entry_id(F.col("rid")), "seq", "targets", "ref_date")
 
-    notes = table(spark, sf_dir, "annotations")
-    from_notes = notes.select(F.lit("annotations").alias("src_table"), F.col("ann_id").cast("string").alias("src_key"), F.lit("entries").alias("target_table"), entry_id(F.col("rid")).alias("target_key"), F.col("created").alias("ref_date"))
+    related = F.transform(F.array_distinct(F.transform("relationships", lambda r: sage_id(r.target))), lambda x: F.struct(F.lit("sages").alias("target_table"), x.alias("target_key")))
+    people = sages.select("id", "pos", "loaded_at", related.alias("targets"), F.to_date("loaded_at").alias("ref_date"))
+    sage_spans = intervals(people, gone("sages"), sage_id(F.col("id")), sage_id(F.col("rid")), "pos", "targets", "ref_date")
 
-    related = F.array_distinct(F.filter(F.transform("relationships", lambda r: sage_id(r.target)), lambda x: x.isNotNull()))
-    people = sages.select(sage_id(F.col("id")).alias("src_key"), "pos", F.to_date("loaded_at").alias("ref_date"), related.alias("targets"))
-    from_sages = current(people, sage_spans, "src_key", "pos").select(F.lit("sages").alias("src_table"), "src_key", F.lit("sages").alias("target_table"), F.explode("targets").alias("target_key"), "ref_date")
-
-    parents = entry_spans.withColumn("table", F.lit("entries")).unionByName(sage_spans.withColumn("table", F.lit("sages")))
-    return orphans(from_entries.unionByName(from_notes).unionByName(from_sages), parents)
+    parents = cut(entry_spans.withColumn("table", F.lit("entries")).unionByName(sage_spans.withColumn("table", F.lit("sages"))))
+    own = parents.where("valid_to is null").select(F.col("table").alias("src_table"), F.col("key").alias("src_key"), F.explode("targets").alias("t"), "ref_date")
+    notes = table(spark, sf_dir, "annotations").select(F.lit("annotations").alias("src_table"), F.col("ann_id").cast("string").alias("src_key"), F.lit("entries").alias("target_table"), entry_id(F.col("rid")).alias("target_key"), F.col("created").alias("ref_date"))
+    refs = own.select("src_table", "src_key", "t.target_table", "t.target_key", "ref_date").unionByName(notes)
+    return orphans(refs, parents.select("table", "key", "valid_from", "valid_to"))
 
 
 def _target(href: Column) -> Column:
@@ -66,20 +66,36 @@ def p1_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 # p2
 
 
-def p2_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every entry with its codes, read or filled from the entries of the same letters, and the level they came from."""
-    entries = table(spark, sf_dir, "entries").select("seq", "hw", "g.ps", "g.gn")
+def _codes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Column], list[Field]]:
     fields = [
         Field("ps", read_code(F.col("ps"), *PARTS)),
         Field("gn", read_code(F.col("gn"), *GENDERS), when=lambda done: done["ps"].isin(*GENDERED)),
     ]
-    return fill_from_groups(entries, [hebrew_letters(F.col("hw"))], fields)
+    return table(spark, sf_dir, "entries").select("seq", "hw", "g.ps", "g.gn"), [hebrew_letters(F.col("hw"))], fields
+
+
+def p2_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry with its codes, read or filled from the entries of the same letters, and the level they came from."""
+    return fill_from_groups(*_codes(spark, sf_dir))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values filled."""
-    cases = F.array(*(F.struct(F.lit(f).alias("field"), F.when(F.col(f"{f}_level").isNotNull(), F.col(f"{f}_value")).alias("value")) for f in ("ps", "gn")))
-    return p2_filled(spark, sf_dir).select("seq", F.explode(cases).alias("x")).select("seq", "x.field", "x.value").where("value is not null")
+    entries, levels, fields = _codes(spark, sf_dir)
+    return filled_values(entries, "seq", levels, fields).drop("level")
+
+
+#: Values that a group must hold to fill from, in the query of the hierarchy.
+SUPPORT = 3
+
+
+def p2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hierarchy: part of speech (mode) and printed page (median) from the entries of the same letters, else of the same
+    first two letters, else of the same part of the file, each group with at least three values."""
+    entries = table(spark, sf_dir, "entries").select("seq", "hw", "part", "g.ps", "p")
+    letters = hebrew_letters(F.col("hw"))
+    fields = [Field("ps", read_code(F.col("ps"), *PARTS)), Field("page", page_of(F.col("p")), numeric=True)]
+    return filled_values(entries, "seq", [letters, F.substring(letters, 1, 2), F.col("part")], fields, SUPPORT)
 
 
 def p2_unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +127,24 @@ f AS (SELECT seq, ps, gn, coalesce(ps, ps_mode) AS ps_value, CASE WHEN gn IS NOT
 """
 
 
+_PAGE = r"nullif(try_cast(regexp_extract(coalesce(p, ''), '^\s*([0-9]+)\s*$', 1) AS INTEGER), 0)"
+
+
+def _level_sql(j: int) -> str:
+    at = lambda f: f"SELECT k{j} AS k, {f} AS v, sum(count(*)) OVER (PARTITION BY k{j}) AS n, sum(count(*)) OVER (PARTITION BY k{j} ORDER BY {f}) AS upto, row_number() OVER (PARTITION BY k{j} ORDER BY count(*) DESC, {f}) AS r FROM e WHERE k{j} <> '' AND {f} IS NOT NULL GROUP BY k{j}, {f}"
+    return f"a{j} AS (SELECT k, v AS ps_v, n AS ps_n FROM ({at('ps')}) WHERE r = 1), b{j} AS (SELECT k, min(v) AS pg_v, any_value(n) AS pg_n FROM ({at('page')}) WHERE upto * 2 >= n GROUP BY k)"
+
+
+_BACKOFF = f"""
+WITH l AS (SELECT seq, part, {_letters_sql("hw")} AS k, {_code_sql("g.ps", PARTS)} AS ps, {_PAGE} AS page FROM entries),
+e AS (SELECT seq, k AS k0, left(k, 2) AS k1, CAST(part AS VARCHAR) AS k2, ps, page FROM l),
+{", ".join(map(_level_sql, range(3)))},
+j AS (SELECT e.seq, e.ps, e.page, {", ".join(f"CASE WHEN a{i}.ps_n >= {SUPPORT} THEN a{i}.ps_v END AS p{i}, CASE WHEN b{i}.pg_n >= {SUPPORT} THEN b{i}.pg_v END AS g{i}" for i in range(3))} FROM e {" ".join(f"LEFT JOIN a{i} ON a{i}.k = e.k{i} LEFT JOIN b{i} ON b{i}.k = e.k{i}" for i in range(3))})
+SELECT seq, 'ps' AS field, coalesce(p0, p1, p2) AS value, CASE WHEN p0 IS NOT NULL THEN 0 WHEN p1 IS NOT NULL THEN 1 ELSE 2 END AS level FROM j WHERE ps IS NULL AND coalesce(p0, p1, p2) IS NOT NULL
+UNION ALL SELECT seq, 'page', CAST(coalesce(g0, g1, g2) AS VARCHAR), CASE WHEN g0 IS NOT NULL THEN 0 WHEN g1 IS NOT NULL THEN 1 ELSE 2 END FROM j WHERE page IS NULL AND coalesce(g0, g1, g2) IS NOT NULL
+"""
+
+
 # p3
 
 
@@ -128,7 +162,7 @@ def p3_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_senses(table(spark, sf_dir, "entries"), "c", "seq").where("kind = 'unreadable'").select("seq", F.col("path").alias("reason"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reasons, p1_by_month, p2_found, p2_filled, p2_unfilled, p3_found, p3_tables, p3_unreadable)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reasons, p1_by_month, p2_found, p2_filled, p2_unfilled, p2_backoff, p3_found, p3_tables, p3_unreadable)}
 
 _TRIM = lambda c: f"nullif(regexp_replace({c}, '^[{_DUCK_WS}]+|[{_DUCK_WS}]+$', '', 'g'), '')"
 _ENTRY, _SAGE = (lambda c: f"upper({_TRIM(c)})"), (lambda c: f"lower({_TRIM(c)})")
@@ -179,6 +213,7 @@ ORACLE = {
     "p1_reasons": _P1 + "SELECT src_table, src_key, CASE kind WHEN 'e' THEN 'entries' ELSE 'sages' END AS target_table, target_key, d AS ref_date, reason FROM o WHERE reason IS NOT NULL",
     "p1_by_month": _P1 + "SELECT src_table, CAST(date_trunc('month', d) AS DATE) AS month, reason, count(*) AS n FROM o WHERE reason IS NOT NULL GROUP BY ALL",
     "p2_filled": _P2 + "SELECT seq, e.hw, e.g.ps AS ps, e.g.gn AS gn, ps_value, CASE WHEN f.ps IS NULL AND ps_value IS NOT NULL THEN 0 END AS ps_level, gn_value, CASE WHEN f.gn IS NULL AND gn_value IS NOT NULL THEN 0 END AS gn_level FROM f JOIN entries e USING (seq)",
+    "p2_backoff": _BACKOFF,
     "p3_found": _P3_FOUND,
     "p3_tables": _P3_TABLES,
     "p2_found": _P2 + "SELECT seq, 'ps' AS field, ps_value AS value FROM f WHERE ps IS NULL AND ps_value IS NOT NULL UNION ALL SELECT seq, 'gn', gn_value FROM f WHERE gn IS NULL AND gn_value IS NOT NULL",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,19 +32,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, so that it is computed once and survives lost executors.
+    This is the one place where a plan under construction runs a job.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests, local runs) a temporary
-    folder of this machine is set.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary
+    folder, removed at the end; on a cluster it is an error, as a folder of one machine would lose the data.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lexigraph-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+            folder = tempfile.mkdtemp(prefix="lexigraph-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores before heavy work on each row: a plain scan of fewer than half as many splits as there are cores
-    (one small file of one row group) is dealt out; anything else stays as it is, so large inputs are not shuffled."""
+    (one small file of one row group) is dealt out; anything else stays as it is, so large inputs are not shuffled. Only the
+    plan depends on this, never the rows."""
     plan = df._jdf.queryExecution().executedPlan()
     if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":  # it holds a shuffle already
         return df
