@@ -124,22 +124,22 @@ def candidates(typed: DataFrame, known: DataFrame, edits: float, shared: int = 2
     added and swapped letters; letters that moved further are found too unless they spoil more triples than that.
     """
     same = F.bool_and("exact").alias("exact")
-    longest = known.agg(F.max(F.length("text")).alias("__longest"))  # one row; what is much longer has no partner
+    longest = known.agg(F.max(F.length("text"))).first()[0] or 0  # one number; what is much longer has no partner
     length = F.length(_closed(F.col("text")))
-    short = typed.select("kind", "text").distinct().join(F.broadcast(longest), length - _allowed(length, edits) <= F.col("__longest"))
+    short = typed.select("kind", "text").distinct().where(length - _allowed(length, edits) <= longest)
     texts = short.select(F.lit(0).alias("side"), "kind", "text", F.lit(False).alias("exact")).unionByName(known.groupBy("kind", "text").agg(same).select(F.lit(1).alias("side"), "kind", "text", "exact"))
     key = ["side", "kind", "text", "exact"]
     each = texts.select(*key, F.posexplode(_triples(F.col("text"))).alias("at", "triple")).groupBy(*key, "triple").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     often = each.groupBy("triple").agg(F.count("*").alias("n"))
     sets = cut(each.join(often, "triple").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("n", "triple", "first", "last"))).alias("set")))
 
-    sets = sets.withColumn("length", F.length(_closed(F.col("text")))).withColumn("size", F.size("set"))
+    sets = sets.withColumn("length", F.length(_closed(F.col("text")))).withColumn("size", F.size("set")).withColumn("allowed", F.when(F.col("exact"), 0).otherwise(_allowed(F.col("length"), edits)))
     sets = sets.withColumn("need", F.when(F.col("exact"), F.col("size")).otherwise(F.greatest(F.lit(1), F.col("size") - _spoilt(F.col("length"), edits))))
     upto = F.col("size") - F.col("need") + F.least(F.lit(shared), "need")
-    prefix = sets.select(*key, "length", "size", "need", F.posexplode(F.slice("set", F.lit(1), upto)).alias("place", "x")).select("*", "x.triple", "x.first", "x.last").drop("x")
+    prefix = sets.select(*key, "length", "size", "need", "allowed", F.posexplode(F.slice("set", F.lit(1), upto)).alias("place", "x")).select("*", "x.triple", "x.first", "x.last").drop("x")
     side = lambda s, x: prefix.where(F.col("side") == s).select("kind", "triple", *(F.col(c).alias(f"{c}_{x}") for c in prefix.columns if c not in ("kind", "triple", "side")))
     c = F.col
-    slack = F.when(c("exact_b"), 0).otherwise(_allowed(F.greatest("length_a", "length_b"), edits))
+    slack = F.when(c("exact_b"), 0).otherwise(F.greatest("allowed_a", "allowed_b"))
     need = F.greatest("need_a", "need_b")
     near = (
         (F.abs(c("length_a") - c("length_b")) <= slack)
