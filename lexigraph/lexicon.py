@@ -1,4 +1,5 @@
-"""The engine's front: a lexicon over loaded tables. Every method gives a DataFrame; nothing runs until it is asked for."""
+"""The engine's front: a lexicon over loaded tables. Every method gives a DataFrame. Most
+run nothing until it is asked for; batches of nearest keys, layouts and windows by page run small jobs first (``session.cut``)."""
 
 from __future__ import annotations
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.display import occurrences
-from ..functions.links import attribute, open_tags, strip_tags
+from ..functions.links import attribute, strip_tags
+from .nested import rewrite_strings
 
 #: Allowed tags; attributes allowed on some tags and on all.
 TAGS = ("a", "abbr", "b", "br", "div", "em", "i", "p", "span", "strong", "sub", "sup")
@@ -125,9 +126,14 @@ def strip_titles(html: Column) -> Column:
     return F.regexp_replace(html, r"""(?is)(<abbr\b[^>]*?)\stitle=(?:"[^"]*"|'[^']*')""", "$1")
 
 
-def strip_nested_links(text: Column) -> Column:
-    """Without the inner source links, whose text stays; works on HTML and on JSON text with escaped quotes."""
-    return F.regexp_replace(text, r'(?s)<a\b[^>]*class=\\?"refLink\\?"[^>]*>(.*?)</a>', "$1")
+def _source_link(book: str) -> str:
+    """A source link to a cross-reference within ``book``, for the regular expressions of Java and of Python."""
+    return rf'(?s)<a\b[^>]*class="refLink"[^>]*href="/{re.escape(book)},_[^"]*"[^>]*>(.*?)</a>'
+
+
+def strip_nested_links(html: Column, book: str) -> Column:
+    """HTML without the source links to cross-references within ``book``, whose text stays; links to other works stay too."""
+    return F.regexp_replace(html, _source_link(book), "$1")
 
 
 def patch(text: Column, key: Column, value: str, old: str, new: str) -> Column:
@@ -135,14 +141,13 @@ def patch(text: Column, key: Column, value: str, old: str, new: str) -> Column:
     return F.when(key == value, F.replace(text, F.lit(old), F.lit(new))).otherwise(text)
 
 
-def clean_nested_links(entries: DataFrame, column: str, mark: str) -> tuple[DataFrame, DataFrame]:
-    """The cleaned entries, and what changed by ``part`` and in total (null): ``entries_changed, links_fixed, remaining``."""
-    cleaned = entries.withColumn("__old", F.col(column)).withColumn(column, strip_nested_links(F.col(column)))
-    before, after = occurrences(F.col("__old"), mark), occurrences(F.col(column), mark)
-    report = cleaned.select("part", (before - after).alias("fixed"), after.alias("left")).rollup("part").agg(F.count_if(F.col("fixed") > 0).alias("entries_changed"), F.sum("fixed").alias("links_fixed"), F.sum("left").alias("remaining"))
-    return cleaned.drop("__old"), report
-
-
-def tag_counts(html: DataFrame, text: str) -> DataFrame:
-    """How often each opening link tag's class occurs."""
-    return html.select(F.explode(open_tags(F.col(text))).alias("t")).groupBy(attribute(F.col("t"), "class").alias("class")).agg(F.count("*").alias("n"))
+def clean_nested_links(entries: DataFrame, column: str, book: str) -> tuple[DataFrame, DataFrame]:
+    """The entries with the strings of their JSON ``column`` cleaned as ``strip_nested_links`` does, at any depth and also in JSON
+    that is a string; and what changed by ``part`` and in total (null): ``entries_changed, links_fixed, remaining``, which is
+    0 unless a text is unreadable or a link has no end."""
+    link, mark = re.compile(_source_link(book)), f"/{book},_"
+    kept = entries.select("part", F.col(column).alias("__old"), F.col(column).alias("__new"))
+    report = rewrite_strings(kept, "__new", lambda text: link.sub(r"\1", text), mark)
+    before, after = occurrences(F.col("__old"), mark), occurrences(F.col("__new"), mark)
+    report = report.select("part", (before - after).alias("fixed"), after.alias("left")).rollup("part").agg(F.count_if(F.col("fixed") > 0).alias("entries_changed"), F.sum("fixed").alias("links_fixed"), F.sum("left").alias("remaining"))
+    return rewrite_strings(entries, column, lambda text: link.sub(r"\1", text), mark), report

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -467,3 +467,61 @@ def _definitions(texts: pa.Array, containing: str) -> Iterator[tuple[int, str]]:
         spans = zip(x.start[hit].tolist(), x.end[hit].tolist())
         hit = hit[np.fromiter((low.find(needle, a, b) >= 0 or raw.find(escaped, a, b) >= 0 for a, b in spans), bool, len(hit))]
         yield from ((row, text) for row, text in zip(rows[x.row[hit]].tolist(), x.text(hit)) if wanted.search(text))
+
+
+def rewrite_strings(df: DataFrame, json_col: str, change: Callable[[str], str], containing: str) -> DataFrame:
+    """``df`` with the JSON texts of ``json_col`` rewritten: every string at any depth that contains ``containing`` (in ASCII and
+    without regard to case) is replaced by what ``change`` makes of it, unescaped; so are strings in JSON that is itself a
+    string, however often. All else of a text stays as it is, byte by byte; a text without a complete document stays whole.
+    """
+    place = df.columns.index(json_col)
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[place] = _rewritten(columns[place], change, containing)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return spread(df).mapInArrow(run, types)
+
+
+def _rewritten(texts: pa.Array, change: Callable[[str], str], containing: str) -> pa.Array:
+    needle, wanted = containing.lower().encode(), re.compile(re.escape(containing), re.I | re.A)
+    escaped = b"\\" if set(containing) & set('"\\/\b\f\n\r\t') else b"\\u"
+    likely = pc.or_(pc.match_substring(texts, containing, ignore_case=True), pc.match_substring(texts, escaped.decode()))
+    rows = np.flatnonzero(pc.fill_null(likely, False).to_numpy(zero_copy_only=False))
+    new: dict[int, str] = {}
+    some = texts.take(pa.array(rows))
+    for start, stop in chunks(some):
+        x = Index(some.slice(start, stop - start))
+        raw = x.buf.tobytes()
+        low = raw.lower()
+        strings = np.flatnonzero(x.kind == _QUOTE)
+        ends = np.append(np.flatnonzero(np.diff(x.row[strings])) + 1, len(strings))
+        begin = 0
+        bounds = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(some.slice(start, stop - start)), 0).to_numpy(zero_copy_only=False) + 1))
+        for end in ends.tolist() if len(strings) else []:
+            row = int(x.row[strings[begin]])
+            parts, at = [], int(bounds[row])
+            for v in strings[begin:end].tolist():
+                a, b = int(x.start[v]), int(x.end[v])
+                if low.find(needle, a, b) < 0 and raw.find(escaped, a, b) < 0:
+                    continue
+                text = _unescaped(raw[a:b])
+                if not wanted.search(text):
+                    continue
+                made = _rewritten(pa.array([text]), change, containing)[0].as_py() if x.parent[v] < 0 else text
+                made = change(text) if made == text else made
+                if made != text:
+                    parts += [raw[at:a], json.dumps(made, ensure_ascii=raw[a:b].isascii()).encode()]
+                    at = b
+            if parts:
+                new[int(rows[start + row])] = (b"".join(parts) + raw[at : int(bounds[row + 1]) - 1]).decode("utf-8", "replace")
+            begin = end
+    if not new:
+        return texts
+    at = np.array(sorted(new))
+    mask = np.zeros(len(texts), bool)
+    mask[at] = True
+    return pc.replace_with_mask(texts, pa.array(mask), pa.array([new[i] for i in at.tolist()], texts.type))

@@ -188,7 +188,7 @@ o AS (SELECT r.*, CASE WHEN p.k IS NULL THEN 'missing' WHEN p.gone THEN 'deleted
 """
 
 _BOX = "CASE json_type({0}) WHEN 'ARRAY' THEN CAST({0} AS JSON[]) WHEN 'OBJECT' THEN [{0}] ELSE [] END"
-_P3 = f"""
+SENSE_TREE = f"""
 WITH RECURSIVE d AS (SELECT seq, CASE WHEN json_type(c) = 'VARCHAR' THEN TRY_CAST(json_extract_string(c, '$') AS JSON) ELSE CAST(c AS JSON) END AS j FROM entries WHERE json_valid(c)),
 b AS (SELECT seq, {_BOX.format('s')} AS l FROM (SELECT seq, CASE json_type(j) WHEN 'ARRAY' THEN j WHEN 'OBJECT' THEN coalesce(json_extract(j, '$.s'), json_extract(j, '$.senses')) END AS s FROM d)),
 n AS (
@@ -201,12 +201,12 @@ x AS (SELECT seq, path, i, x FROM (SELECT seq, path, unnest(l) AS x, generate_su
 """
 
 
-def _string_sql(*paths: str) -> str:
+def string_sql(*paths: str) -> str:
     return f"coalesce({', '.join(f"""CASE WHEN json_type(e, '{p}') = 'VARCHAR' THEN json_extract_string(e, '{p}') END""" for p in paths)})"
 
 
-_P3_FOUND = _P3 + "SELECT seq, 'sense' AS kind, path, parent FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path FROM x"
-_P3_TABLES = _P3 + f"SELECT seq, 'sense' AS kind, path, parent, CAST(split_part(path, '.', -1) AS BIGINT) AS pos, {_string_sql('$.d', '$.definition')} AS d, {_string_sql('$.n', '$.number')} AS n, {_string_sql('$.g.vs', '$.grammar.verbal_stem')} AS vs, NULL AS form FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path, i, NULL, NULL, NULL, json_extract_string(x, '$') FROM x"
+_P3_FOUND = SENSE_TREE + "SELECT seq, 'sense' AS kind, path, parent FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path FROM x"
+_P3_TABLES = SENSE_TREE + f"SELECT seq, 'sense' AS kind, path, parent, CAST(split_part(path, '.', -1) AS BIGINT) AS pos, {string_sql('$.d', '$.definition')} AS d, {string_sql('$.n', '$.number')} AS n, {string_sql('$.g.vs', '$.grammar.verbal_stem')} AS vs, NULL AS form FROM n UNION ALL SELECT seq, 'form', path || ':' || i, path, i, NULL, NULL, NULL, json_extract_string(x, '$') FROM x"
 
 ORACLE = {
     "p1_found": _P1 + "SELECT src_table, src_key, target_key FROM o WHERE reason IS NOT NULL",

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import display, routes, validate
 from ..functions.normalize import FINALS, JS_WS, ORDINARY, WS, entry_id, normalize_hebrew, normalize_reference
 from ..operators import annotate, crud, etl, graph, history, index, layout, paging, search, senses
-from ..operators.nested import sense_texts
-from ..session import table
+from ..operators.nested import flatten_senses, sense_texts
+from ..session import bounded, table
 from ..sources.jsonl import split_at
+from .quality import SENSE_TREE, string_sql
 
 QUERIES, ORACLE = {}, {}
 
@@ -39,6 +40,14 @@ def _sages(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "sages")
 
 
+_D_TEXT = f"{SENSE_TREE}, t AS (SELECT seq, path, {string_sql('$.d', '$.definition')} AS d FROM n)"
+
+
+def _definitions(spark: SparkSession, d: str) -> DataFrame:
+    """The definitions at all depths: ``seq, path, d``."""
+    return flatten_senses(table(spark, d, "entries"), "c", "seq", text=True).where("kind = 'sense'").select("seq", "path", "d")
+
+
 def _values(spark: SparkSession, values: list, schema: str) -> DataFrame:
     return spark.createDataFrame(values, schema)
 
@@ -300,9 +309,11 @@ def sorted_abbreviations(spark: SparkSession, d: str) -> DataFrame:
     return rows.orderBy(F.collate("key", "UNICODE_CI_AI"), "key")
 
 
-@query("SELECT e.seq, u.ref, l.value FROM (SELECT seq, unnest(flatten(map_values(rf))) AS ref FROM entries) u JOIN lookup l ON u.ref = l.key JOIN entries e ON e.seq = u.seq")
+@query(f"{_D_TEXT}, a AS (SELECT seq, path, unnest(regexp_extract_all(d, '<a [^>]*>([^<]*)</a>', 1)) AS key FROM t), l AS (SELECT DISTINCT key, value FROM lookup) SELECT seq, path, key, value FROM a JOIN l USING (key)")
 def abbreviation_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return _refs(spark, d).join(table(spark, d, "lookup"), F.col("ref") == F.col("key")).select("seq", "ref", "value")
+    """The texts of links in definitions that are abbreviations, with their full names."""
+    marked = _definitions(spark, d).select("seq", "path", F.explode(F.regexp_extract_all("d", F.lit("<a [^>]*>([^<]*)</a>"), F.lit(1))).alias("key"))
+    return marked.join(table(spark, d, "lookup").select("key", "value").distinct(), "key").select("seq", "path", "key", "value")
 
 
 # The graph
@@ -434,19 +445,28 @@ def language_tags(spark: SparkSession, d: str) -> DataFrame:
 _RULES = " ".join(f"WHEN regexp_matches(t, '^{p}') THEN '{v}'" for p, v in ((r"pr\. n\. m\.", "n"), (r"pr\. n\. f\.", "n"), (r"[mf]\. pl\.", "n"), (r"interj\.", "ij"), (r"part\.", "pt"), (r"conj\.", "cj"), (r"adj\.", "a"), (r"adv\.", "av"), (r"[mfn]\.", "n"), (r"v\.", "v")))
 
 
-@query(rf"WITH t AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '<[^>]*>', '', 'g')) AS t FROM documents) SELECT doc_id, CASE {_RULES} END AS ps, CASE WHEN regexp_matches(t, '^(pr\. n\. m\.|m\. pl\.|m\.)') THEN 'm' WHEN regexp_matches(t, '^(pr\. n\. f\.|f\. pl\.|f\.)') THEN 'f' END AS gn FROM t")
+@query(rf"{_D_TEXT}, v AS (SELECT DISTINCT seq FROM x UNION SELECT seq FROM n WHERE json_extract_string(e, '$.g.vs') IS NOT NULL OR json_extract_string(e, '$.grammar.verbal_stem') IS NOT NULL), f AS (SELECT seq, trim(regexp_replace(coalesce(t.d, ''), '<[^>]*>', '', 'g')) AS t, seq IN (SELECT seq FROM v) AS verb FROM entries LEFT JOIN (SELECT * FROM t WHERE path = '0') t USING (seq)) SELECT seq, CASE WHEN verb THEN 'v' {_RULES} END AS ps, CASE WHEN verb THEN NULL WHEN regexp_matches(t, '^(pr\. n\. m\.|m\. pl\.|m\.)') THEN 'm' WHEN regexp_matches(t, '^(pr\. n\. f\.|f\. pl\.|f\.)') THEN 'f' END AS gn FROM f")
 def speech_tags(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", etl.speech(F.col("text"), F.lit(False)).alias("x")).select("doc_id", "x.ps", "x.gn")
+    """The tags of each entry by its stems and forms, else by the start of its first definition."""
+    rows = flatten_senses(table(spark, d, "entries"), "c", "seq", text=True)
+    first = rows.groupBy("seq").agg(F.max(F.when((F.col("kind") == "sense") & (F.col("path") == "0"), F.col("d"))).alias("d"), F.bool_or((F.col("kind") == "form") | F.col("vs").isNotNull()).alias("verb"))
+    return table(spark, d, "entries").select("seq").join(first, "seq", "left").select("seq", etl.speech(F.col("d"), F.col("verb")).alias("x")).select("seq", "x.ps", "x.gn")
+
 
+_LINKS_IN = "coalesce((length(c) - length(replace(c, '/Lexikon,_', ''))) // 10, 0)"
 
-@query("SELECT seq, regexp_replace(c, '<a\\b[^>]*class=\\\\?\"refLink\\\\?\"[^>]*>(.*?)</a>', '\\1', 'gs') AS c FROM entries")
+
+@query(f"SELECT seq, md5(regexp_replace(c, '<[^>]*>', '', 'g')) AS bare, coalesce((length(c) - length(replace(c, '<a ', ''))) // 3, 0) - {_LINKS_IN} AS anchors FROM entries")
 def nested_links_cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return etl.clean_nested_links(table(spark, d, "entries"), "c", "/Lexikon,_")[0].select("seq", "c")
+    """After the clean-up: the trees without any tags, which it must not change, and the links that are left."""
+    cleaned = etl.clean_nested_links(table(spark, d, "entries").select("seq", "part", "c"), "c", "Lexikon")[0]
+    return cleaned.select("seq", F.md5(F.regexp_replace("c", "<[^>]*>", "")).alias("bare"), F.coalesce(display.occurrences(F.col("c"), "<a "), F.lit(0)).cast("bigint").alias("anchors"))
 
 
-@query("WITH x AS (SELECT part, coalesce((length(c) - length(replace(c, '/Lexikon,_', ''))) // 10, 0) AS b, regexp_replace(c, '<a\\b[^>]*class=\\\\?\"refLink\\\\?\"[^>]*>(.*?)</a>', '\\1', 'gs') AS k FROM entries), y AS (SELECT part, b, coalesce((length(k) - length(replace(k, '/Lexikon,_', ''))) // 10, 0) AS a FROM x) SELECT part, count(*) FILTER (b > a) AS entries_changed, CAST(sum(b - a) AS BIGINT) AS links_fixed, CAST(sum(a) AS BIGINT) AS remaining FROM y GROUP BY ROLLUP (part)")
+@query(f"WITH x AS (SELECT part, {_LINKS_IN} AS n FROM entries) SELECT part, count(*) FILTER (n > 0) AS entries_changed, CAST(sum(n) AS BIGINT) AS links_fixed, CAST(0 AS BIGINT) AS remaining FROM x GROUP BY ROLLUP (part)")
 def nested_links_report(spark: SparkSession, d: str) -> DataFrame:
-    return etl.clean_nested_links(table(spark, d, "entries"), "c", "/Lexikon,_")[1]
+    """What the clean-up changed; the SQL counts the links and demands that none remains."""
+    return etl.clean_nested_links(table(spark, d, "entries").select("part", "c"), "c", "Lexikon")[1]
 
 
 @query("SELECT seq, " + "regexp_replace(" * len(etl.SHORT_KEYS) + "c" + "".join(f""", '([{{,\\s])"{long}"(\\s*:)', '\\1"{short}"\\2', 'g')""" for long, short in etl.SHORT_KEYS.items()) + " AS c FROM entries")
@@ -454,29 +474,40 @@ def keys_shortened(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "entries").select("seq", etl.shorten_keys(F.col("c")).alias("c"))
 
 
-@query("SELECT doc_id, regexp_replace(text, '(?is)(<abbr\\b[^>]*?)\\stitle=(?:\"[^\"]*\"|''[^'']*'')', '\\1', 'g') AS text FROM documents")
+@query(f"{_D_TEXT} SELECT seq, path, regexp_replace(d, '(?is)(<abbr\\b[^>]*?)\\stitle=(?:\"[^\"]*\"|''[^'']*'')', '\\1', 'g') AS d FROM t WHERE contains(d, '<abbr')")
 def titles_stripped(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", etl.strip_titles(F.col("text")).alias("text"))
+    """The definitions with abbreviations, without the titles of these."""
+    return _definitions(spark, d).where(F.contains("d", F.lit("<abbr"))).select("seq", "path", etl.strip_titles(F.col("d")).alias("d"))
 
 
 _ALLOWED = " ".join(f"WHEN '{n}' THEN [{', '.join(repr(x) for x in sorted({*a, *etl.ANYWHERE}))}]" for n, a in etl.ATTRIBUTES.items())
 
 
-@query(rf"""WITH g AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?s)</?[a-zA-Z][^>]*>?')) AS tag FROM documents),
-n AS (SELECT doc_id, tag, lower(regexp_extract(tag, '^</?([a-zA-Z0-9]+)', 1)) AS name FROM g),
-a AS (SELECT *, CASE name {_ALLOWED} ELSE ['class', 'dir'] END AS ok, list_transform(regexp_extract_all(regexp_replace(tag, '=\s*("[^"]*"|''[^'']*''|[^\s>]+)', '=', 'g'), '\s([a-zA-Z_:][a-zA-Z0-9_:.-]*)', 1), lambda x: lower(x)) AS names, regexp_replace(regexp_extract(tag, '(?is)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1), '^["'']|["'']$', '', 'g') AS href FROM n),
+#: Mark-up that breaks each rule, as the tables hold none that does.
+_UNCLEAN = [(-1, '<script src="x">1</script>'), (-2, '<a href="javascript:alert(1)" onclick="f()">x</a><a HREF=" JavaScript:b">y</a>'), (-3, "<b style='c' class=d>x</b><IMG src=q>"), (-4, "a < b <unclosed"), (-5, None), (-6, '<abbr title="t" dir="rtl">ok</abbr>')]
+
+
+@query(rf"""{_D_TEXT}, h AS (SELECT seq, d AS text FROM t UNION ALL SELECT seq, li FROM entries UNION ALL SELECT * FROM (VALUES {_sql_values(_UNCLEAN)}) v(seq, text)), mg AS (SELECT seq AS doc_id, unnest(regexp_extract_all(text, '(?s)</?[a-zA-Z][^>]*>?')) AS tag FROM h),
+mn AS (SELECT doc_id, tag, lower(regexp_extract(tag, '^</?([a-zA-Z0-9]+)', 1)) AS name FROM mg),
+a AS (SELECT *, CASE name {_ALLOWED} ELSE ['class', 'dir'] END AS ok, list_transform(regexp_extract_all(regexp_replace(tag, '=\s*("[^"]*"|''[^'']*''|[^\s>]+)', '=', 'g'), '\s([a-zA-Z_:][a-zA-Z0-9_:.-]*)', 1), lambda x: lower(x)) AS names, regexp_replace(regexp_extract(tag, '(?is)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1), '^["'']|["'']$', '', 'g') AS href FROM mn),
 v AS (SELECT doc_id, 'tag' AS rule, name AS value FROM a WHERE name NOT IN ({', '.join(map(repr, etl.TAGS))})
 UNION ALL SELECT doc_id, 'attribute', name || '.' || x FROM (SELECT doc_id, name, unnest(list_distinct(list_filter(names, lambda y: NOT list_contains(ok, y)))) AS x FROM a)
 UNION ALL SELECT doc_id, 'address', href FROM a WHERE starts_with(lower(trim(href)), 'javascript:'))
-SELECT doc_id, rule, value, count(*) AS n FROM v GROUP BY ALL""")
+SELECT doc_id AS seq, rule, value, count(*) AS n FROM v GROUP BY ALL""")
 def markup_violations(spark: SparkSession, d: str) -> DataFrame:
-    return etl.markup_violations(table(spark, d, "documents"), "doc_id", "text")
+    """Over the definitions at all depths and the language lines, and a few texts that break each rule."""
+    html = _definitions(spark, d).select("seq", F.col("d").alias("text")).unionByName(table(spark, d, "entries").select("seq", F.col("li").alias("text"))).unionByName(_values(spark, _UNCLEAN, "seq long, text string"))
+    return etl.markup_violations(html, "seq", "text")
 
 
 @query()
 def abbreviations_marked(spark: SparkSession, d: str) -> DataFrame:
-    known = [r["key"] for r in table(spark, d, "lookup").select("key").distinct().collect()]  # a fixed list
-    return table(spark, d, "documents").select("doc_id", etl.mark_abbreviations(F.col("text"), known).alias("text"))
+    """Definitions in which known abbreviations are marked; the list is proven to be short before it becomes a pattern."""
+    keys = table(spark, d, "lookup").select("key").distinct()
+    if not bounded(keys, 10_000):
+        raise ValueError("more than 10000 abbreviations")
+    known = [r["key"] for r in keys.collect()]
+    return _definitions(spark, d).select("seq", "path", etl.mark_abbreviations(F.col("d"), known).alias("d"))
 
 
 @query("SELECT seq, CASE WHEN len(pf) > 0 THEN pf END AS pf, CASE WHEN len(ah) > 0 THEN ah END AS ah FROM entries")
@@ -484,7 +515,7 @@ def fields_stripped(spark: SparkSession, d: str) -> DataFrame:
     return etl.strip_fields(table(spark, d, "entries")).select("seq", "pf", "ah")
 
 
-@query()
+@query(f"""{_D_TEXT}, w AS (SELECT DISTINCT seq, unnest(regexp_extract_all(d, 'href="#([^":]+)" class="word-link"', 1)) AS target FROM t), i AS (SELECT hw, arg_min(id, seq) AS id FROM entries WHERE hw IS NOT NULL AND id IS NOT NULL GROUP BY hw) SELECT w.seq, w.target, i.id FROM w LEFT JOIN i ON i.hw = w.target""")
 def word_links(spark: SparkSession, d: str) -> DataFrame:
     """Word links by headword, with the entry they lead to (null: unresolved)."""
     entries = table(spark, d, "entries")
@@ -541,9 +572,9 @@ def search_history(spark: SparkSession, d: str) -> DataFrame:
     return history.history(uses, "user_id", ["event_type", "day"], "ts", "event_id").select("user_id", "event_type", "day", "event_id", "rank")
 
 
-@query("WITH n AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events) SELECT event_id FROM n WHERE nx IS NULL OR nx - ts >= INTERVAL 150 MILLISECOND")
+@query("WITH n AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events) SELECT event_id FROM n WHERE nx IS NULL OR nx - ts >= INTERVAL 24 HOUR")
 def debounced(spark: SparkSession, d: str) -> DataFrame:
-    return annotate.edges_of_bursts(table(spark, d, "events"), "user_id", "ts").select("event_id")
+    return annotate.edges_of_bursts(table(spark, d, "events"), "user_id", "ts", gap_ms=86_400_000).select("event_id")
 
 
 _CHECKED = ("id", "hw", "p", "col", "li", "c", "rf", "ah", "pf", "q", "mo")

@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, so that it is computed once and survives lost executors.
-    This is the one place where a plan under construction runs a job.
+    The job runs while the plan is under construction.
 
     The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary
     folder, removed at the end; on a cluster it is an error, as a folder of one machine would lose the data.

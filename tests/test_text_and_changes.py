@@ -32,17 +32,23 @@ def test_links(spark):
     assert column(spark, [html], lambda c: etl.rewrite_links(c, "Book", "https://t.example")) == ['<a href="#אב" class="word-link">x</a> <a href="https://t.example/Genesis 1" target="_blank" rel="noopener noreferrer" class="ref-link">y</a>']
     assert column(spark, [html], etl.data_refs) == [["B", "Genesis 1"]]
     nested = '<a href="#rid:X" class="word-link"><a class="refLink" href="/Book,_q">t</a>.</a>'
-    assert column(spark, [nested, json.dumps({"d": nested})], etl.strip_nested_links) == ['<a href="#rid:X" class="word-link">t.</a>', json.dumps({"d": '<a href="#rid:X" class="word-link">t.</a>'})]
+    assert column(spark, [nested], lambda c: etl.strip_nested_links(c, "Book")) == ['<a href="#rid:X" class="word-link">t.</a>']
+    other = '<a class="refLink" href="/Other,_w.1">t</a>'
+    assert column(spark, [other, None], lambda c: etl.strip_nested_links(c, "Book")) == [other, None]
     assert column(spark, ['<abbr class="x" title="a > b">y</abbr> <i title="k">', "<abbr title='q'>z</abbr>"], etl.strip_titles) == ['<abbr class="x">y</abbr> <i title="k">', "<abbr>z</abbr>"]
     assert [r[0] for r in spark.createDataFrame([("A", "x y"), ("B", "x y")], "k string, t string").select(etl.patch(F.col("t"), F.col("k"), "A", "x", "z")).collect()] == ["z y", "x y"]
 
 
 def test_nested_report(spark):
-    bad = '<a class="refLink" href="/Book,_q">t</a>'
-    rows = [(1, bad * 2), (1, "none"), (2, bad), (2, None), (2, '<a href="/Book,_q">')]
-    cleaned, report = etl.clean_nested_links(spark.createDataFrame(rows, "part int, d string"), "d", "/Book,_")
-    assert {tuple(r) for r in report.collect()} == {(1, 1, 2, 0), (2, 1, 1, 1), (None, 2, 3, 1)}
-    assert sorted(r.d or "" for r in cleaned.collect()) == ["", '<a href="/Book,_q">', "none", "t", "tt"]
+    """Trees as they come: strings at any depth, JSON in a string, escapes, other works, a link without an end, broken text."""
+    bad, other = '<a class="refLink" href="/Book,_q">ט</a>', '<a class="refLink" href="/Other,_q">t</a>'
+    tree = lambda d: json.dumps({"s": [{"d": "x", "n": None}, {"s": {"d": d}}], "k": 1.50})
+    texts = [tree(bad * 2 + other), tree("none"), json.dumps(tree(bad)), json.dumps(json.dumps(tree(bad))), json.dumps({"d": bad}, ensure_ascii=False), None, tree('<a class="refLink" href="/Book,_q">'), '{"d": "/Book,_', json.dumps({"d": bad}).replace("refLink", "ref\\u004cink")]
+    rows = [(1 + (i > 1), i, t) for i, t in enumerate(texts)]
+    cleaned, report = etl.clean_nested_links(spark.createDataFrame(rows, "part int, i int, c string"), "c", "Book")
+    assert {tuple(r) for r in report.collect()} == {(1, 1, 2, 0), (2, 4, 4, 2), (None, 5, 6, 2)}
+    got = {r.i: r.c for r in cleaned.collect()}
+    assert got == {0: tree("טט" + other), 1: texts[1], 2: json.dumps(tree("ט")), 3: json.dumps(json.dumps(tree("ט"))), 4: '{"d": "ט"}', 5: None, 6: texts[6], 7: texts[7], 8: json.dumps({"d": "ט"})}
 
 
 def test_abbreviations(spark):
