@@ -256,7 +256,7 @@ class Below:
         return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
-def _top(x: Index) -> np.ndarray:
+def top_holders(x: Index) -> np.ndarray:
     """The value that holds the top senses of each document, if any: the document, the senses of an object, else what its
     content holds, however often it is wrapped."""
     objects, arrays = x.kind == _OPEN_OBJ, x.kind == _OPEN_ARR
@@ -270,7 +270,7 @@ def _top(x: Index) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
+def walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
     """The senses of an index, found level by level: with ``paths`` the path of every value that is a sense and, of the senses
     in turn, (path above, position); the senses."""
     n = len(x.kind)
@@ -281,7 +281,7 @@ def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
     parent_kind = np.where(inner, x.kind[x.parent], 0)
     elements = Below(x, objects & (parent_kind == _OPEN_ARR))
     nested = Below(x, (objects | arrays) & (x.key == SENSES) & (parent_kind == _OPEN_OBJ))
-    front = _top(x)
+    front = top_holders(x)
     path_of = np.full(n, None, object)
     above = np.full(n, "", object)  # of a container: the path of the sense that holds it
     ids, levels = [], []
@@ -304,7 +304,7 @@ def _walk(x: Index, paths: bool = False) -> tuple[np.ndarray, list, np.ndarray]:
 def _senses(x: Index, text: bool) -> tuple[dict[str, list], int]:
     """The senses and forms of an index, as columns ``row, kind, path, parent, pos`` and the texts; how deep they lie."""
     n = len(x.kind)
-    path_of, levels, sense = _walk(x, paths=True)
+    path_of, levels, sense = walk(x, paths=True)
     held = np.concatenate([a for a, _ in levels]) if levels else np.zeros(0, object)
     number = np.concatenate([b for _, b in levels]) if levels else np.zeros(0, np.int64)
 
@@ -458,7 +458,7 @@ def _definitions(texts: pa.Array, containing: str) -> Iterator[tuple[int, str]]:
     escaped = b"\\" if set(containing) & set('"\\/\b\f\n\r\t') else b"\\u"
     wanted = re.compile(re.escape(containing), re.I | re.A)
     for x, rows, _ in opened(texts):
-        _, _, sense = _walk(x)
+        _, _, sense = walk(x)
         is_sense = np.zeros(len(x.kind) + 1, bool)
         is_sense[sense] = True
         hit = np.flatnonzero(is_sense[x.parent] & (x.key == TEXT) & (x.kind == _QUOTE))

@@ -114,25 +114,41 @@ def test_classification(spark):
     assert {r.note for r in annotate.drop_notes(notes, "other").collect()} == {"AI suggests: ps=n", "AI suggests: x", "AI suggests: y"}
 
 
-def shown(tree, level=0):
-    """(kind, level, path) in the order shown, walked over parsed senses."""
-    out, rows = [], [(i, s) for i, s in enumerate(tree) if s]
+def shown(tree, level=0, info="", path=""):
+    """(kind, level, path, info) in the order shown, walked over a parsed list of senses."""
+    out, rows = [], [(i, s) for i, s in enumerate(tree if isinstance(tree, list) else [tree]) if isinstance(s, dict)]
     if not rows:
         return out
-    g = lambda s: bool(s.get("g"))
-    lead = rows[0][1]
-    if lead.get("d") and not lead.get("n") and not g(lead) and len(rows) > 1:
-        out.append(("primary", level, lead["id"]))
-        out += [("numbered", level + 1, s["id"]) for _, s in rows[1:] if not g(s) and s.get("d") and s.get("n")]
-        for _, s in rows[1:]:
+    at = lambda i: f"{path}.{i}" if path else str(i)
+    named = lambda s, short, long: s[short] if s.get(short) is not None else s.get(long)
+    g = lambda s: isinstance(named(s, "g", "grammar"), (dict, list)) or bool(named(s, "g", "grammar"))
+    d, n, below = (lambda s: named(s, "d", "definition")), (lambda s: named(s, "n", "number")), (lambda s: named(s, "s", "senses"))
+    some = lambda x: isinstance(x, dict) or isinstance(x, list) and any(isinstance(y, dict) for y in x)
+
+    def section(i, s, deep, line=""):
+        inner = shown(below(s), deep + 1, line, at(i)) if some(below(s)) else []
+        return [("grammar", deep, at(i), ""), *inner]
+
+    first, lead = rows[0]
+    if d(lead) and not n(lead) and not g(lead) and len(rows) > 1:
+        out.append(("primary", level, at(first), info))
+        for i, s in rows[1:]:
+            if d(s) and n(s):
+                out += section(i, s, level + 1) if g(s) else [("numbered", level + 1, at(i), "")]
+        for i, s in rows[1:]:
             if g(s):
-                out += [("grammar", level, s["id"]), *shown(s.get("s") or [], level + 1)]
+                out += section(i, s, level)
         return out
-    for _, s in rows:
+    if info and n(lead):
+        out.append(("language", level, at(first), info))
+        info = ""
+    for i, s in rows:
         if g(s):
-            out += [("grammar", level, s["id"]), *shown(s.get("s") or [], level + 1)]
-        elif s.get("d"):
-            out.append(("numbered" if s.get("n") else "plain", level, s["id"]))
+            out += section(i, s, level, info)
+            info = "" if some(below(s)) else info
+        elif d(s):
+            out.append(("numbered" if n(s) else "plain", level, at(i), info))
+            info = ""
     return out
 
 
@@ -141,29 +157,46 @@ def test_senses_as_shown(spark):
     trees = [
         [{"d": "a"}, {"d": "b", "n": "— 1) "}, {"g": forms, "s": [{"d": "c"}, {"d": "d", "n": "2)"}]}, {"d": "dropped"}, {"d": "e", "n": "3) "}],
         [{"d": "a", "n": "1)", "s": [{"d": "hidden"}]}, {"g": forms, "s": [{"g": {"bf": "z"}, "s": [{"d": "deep"}, None]}]}, {"n": "only"}],
-        [{"d": "single"}], [], [{"n": "x"}], [{"g": {"vs": "Nif."}}, {"d": "p"}],
+        [{"d": "single"}], [], [{"n": "x"}], [{"g": {"vs": "Nif."}}, {"d": "p"}], [{"g": forms, "s": [{"d": "child"}]}, {"d": "x"}], [{"g": {}}, {"d": "p"}], [{"d": "a"}, {"d": "b", "n": "1", "g": forms, "s": [{"d": "twice"}]}, {"g": {}}],
+        [{"g": {}, "s": []}, {"g": {}, "s": [{"x": 1}]}, {"d": "lost"}], {"d": "alone", "s": {"d": "no"}}, [None, {"g": {"bf": []}, "s": {"g": False, "d": "q", "n": "1"}}], [{"g": "x"}, {"g": 0, "d": "y"}, {"g": "", "d": "z"}],
     ]
-
-    def number(tree, above=""):
-        for i, s in enumerate(tree):
-            if s:
-                s["id"] = f"{above}{i}"
-                number(s.get("s") or [], f"{above}{i}.")
-
-    rows = []
-    for i, tree in enumerate(trees):
-        number(tree)
-        rows.append((i, "<i>ch.</i>", json.dumps({"s": tree})))
-    df = spark.createDataFrame([*rows, (90, None, None), (91, "x", "{")], "seq long, li string, c string")
+    rows = [(i, "h." if i % 3 else "", json.dumps({"s": t})) for i, t in enumerate(trees)] + [(90, "h.", None), (91, "h.", "{"), (92, "h.", json.dumps(json.dumps({"s": trees[6]}))), (93, None, json.dumps({"s": trees[6]}))]
+    rows += [(100 + i, "h.", json.dumps({"s": t})) for i, t in enumerate(trees)]
+    df = spark.createDataFrame(rows, "seq long, li string, c string")
     got = {}
     for r in senses.shown_senses(df).orderBy("seq", "place").collect():
-        got.setdefault(r.seq, []).append((r.kind, r.level, r.path))
-        assert (r.info is not None) == (r.place == 0)
-    assert got == {i: shown(t) for i, t in enumerate(trees) if shown(t)}
+        got.setdefault(r.seq, []).append((r.kind, r.level, r.path, r.info or ""))
+    want = {i: shown(t, 0, "h." if i % 3 else "") for i, t in enumerate(trees)} | {92: shown(trees[6], 0, "h."), 93: shown(trees[6])} | {100 + i: shown(t, 0, "h.") for i, t in enumerate(trees)}
+    assert got == {i: x for i, x in want.items() if x}
+    assert got[106] == [("grammar", 0, "0", ""), ("plain", 1, "0.0", "h."), ("plain", 0, "1", "")] and got[107][1] == ("plain", 0, "1", "h.")
+    assert [x[2] for x in got[108]] == ["0", "1", "1.0", "1", "1.0", "2"] and got[101][0] == ("language", 0, "0", "h.")
     r = senses.shown_senses(df).where("seq = 0 and kind = 'grammar'").first()
-    assert (r.stem, r.forms) == ("Pi.", "x, y")
+    assert (r.stem, r.forms, r.text, r.number) == ("Pi.", "x, y", None, None)
     assert senses.shown_senses(df).where("seq = 0 and path = '1'").first().number == "1)"
-    assert {r.seq: r.message for r in senses.contents(df).collect()} == {0: None, 1: None, 2: None, 3: "No content available", 4: "No definition available", 5: None, 90: "No content available", 91: "No content available"}
+    assert senses.shown_senses(df).where("seq = 1 and path = '1.0'").first().forms == "z"
+    messages = {r.seq: r.message for r in senses.contents(df.where("seq < 100")).collect()}
+    assert messages == {i: "No content available" if not t else None if shown(t) else "No definition available" for i, t in enumerate(trees)} | {90: "No content available", 91: "No content available", 92: None, 93: None}
+    assert senses.shown_senses(df.limit(0)).count() == 0 and senses.contents(df.limit(0)).count() == 0
+
+
+def test_senses_of_the_data_as_shown(spark, duck):
+    from conftest import DATA
+
+    entries = spark.read.parquet(f"{DATA}/entries.parquet")
+    got = {}
+    for r in senses.shown_senses(entries).orderBy("seq", "place").collect():
+        got.setdefault(r.seq, []).append((r.kind, r.level, r.path, r.info or ""))
+    want = {}
+    for r in entries.select("seq", "li", "c").collect():
+        try:
+            tree = json.loads(r.c)
+            tree = json.loads(tree) if isinstance(tree, str) else tree
+        except (TypeError, ValueError):
+            continue
+        top = tree.get("s") or tree.get("senses") if isinstance(tree, dict) else tree
+        if x := shown(top or [], 0, r.li or ""):
+            want[r.seq] = x
+    assert got == want and len(got) > 100
 
 
 def test_references_and_badges(spark):
