@@ -30,14 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, so that it is computed once and survives lost executors.
-    The job runs while the plan is under construction.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for data that all machines must see: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary
-    folder, removed at the end; on a cluster it is an error, as a folder of one machine would lose the data.
+    Where that is unset, a local session (tests) gets a temporary folder, removed at the end; on a cluster it is an error, as
+    a folder of one machine would lose the data.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         folder = sc.getConf().get("spark.checkpoint.dir")
         if not folder:
@@ -46,6 +45,13 @@ def cut(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="lexigraph-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that it is computed once and survives lost executors. The job runs
+    while the plan is under construction."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -3,10 +3,10 @@
 import pytest
 from conftest import DATA, same_rows
 
-from lexigraph.plans import quality, reference
+from lexigraph.plans import loading, quality, reference
 
-QUERIES = {**reference.QUERIES, **quality.QUERIES}
-SQL = {**reference.ORACLE, **quality.ORACLE}
+QUERIES = {**reference.QUERIES, **quality.QUERIES, **loading.QUERIES}
+SQL = {**reference.ORACLE, **quality.ORACLE, **loading.ORACLE}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
