@@ -35,11 +35,6 @@ def ingest(stream: DataFrame, out: str, checkpoint: str, more: Callable[[DataFra
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_by_key(stream: DataFrame, key: str, at: str, late: str = "1 hour") -> DataFrame:
-    """The newest row of each key within windows of the event time, with a watermark for late rows."""
-    return stream.withWatermark(at, late).groupBy(F.window(at, late), key).agg(F.max_by(F.struct("*"), at).alias("row")).select("window", key, "row")
-
-
 class Progress(StreamingQueryListener):
     """Calls back with (rows so far, rows a second) after each batch."""
 
