@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
 import time
 from collections.abc import Callable
 
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 UNKNOWN = "unknown"
+#: Fixed value: how long the version check may take.
+SECONDS = 2.0
 
 
 class SnapshotStore:
@@ -55,13 +59,25 @@ def needs_refresh(cached: str | None, served: str | None) -> bool:
     return cached is None or (served is not None and served != cached)
 
 
-def load(store: SnapshotStore, name: str, served: Callable[[], str], fetch: Callable[[], DataFrame]) -> DataFrame:
-    """The table from the store or, if its version is out of date, fetched and stored. ``served`` may fail: then the cached
-    table is used, or else fetched with the version ``unknown``. The old snapshot stays current until the new one is whole."""
-    try:
-        version = served()
-    except Exception:  # noqa: BLE001 - unreachable
-        version = None
+def asked(served: Callable[[], str], seconds: float) -> str | None:
+    """What ``served`` gives within a time, or none if it fails or takes longer."""
+    answer: list[str] = []
+
+    def ask() -> None:
+        with contextlib.suppress(Exception):  # unreachable
+            answer.append(served())
+
+    thread = threading.Thread(target=ask, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    return answer[0] if answer else None
+
+
+def load(store: SnapshotStore, name: str, served: Callable[[], str], fetch: Callable[[], DataFrame], seconds: float = SECONDS) -> DataFrame:
+    """The table from the store or, if its version is out of date, fetched and stored. ``served`` may fail or give no answer
+    within ``seconds``: then the cached table is used, or else fetched with the version ``unknown``. The old snapshot stays
+    current until the new one is whole."""
+    version = asked(served, seconds)
     mark = store.marker(name)
     if not needs_refresh(mark and mark["version"], version):
         held = store.read(name)

@@ -281,3 +281,19 @@ def test_stream(spark, tmp_path):
 def test_debounce(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 'u', timestamp'2024-01-01 00:00:00.000'), (2, 'u', timestamp'2024-01-01 00:00:00.100'), (3, 'u', timestamp'2024-01-01 00:00:00.250'), (4, 'v', timestamp'2024-01-01 00:00:00.100') AS t(event_id, k, ts)")
     assert {r.event_id for r in annotate.edges_of_bursts(df, "k", "ts").collect()} == {2, 3, 4}
+
+
+def test_version_check_gives_up(spark, tmp_path):
+    """A version that fails or does not come in time leaves the cached table in use."""
+    import time
+
+    def broken():
+        raise OSError
+
+    store = SnapshotStore(spark, str(tmp_path))
+    assert load(store, "t", lambda: "v1", lambda: spark.range(3)).count() == 3
+    began = time.monotonic()
+    assert load(store, "t", lambda: time.sleep(60) or "v2", lambda: spark.range(9), seconds=0.2).count() == 3
+    assert load(store, "t", broken, lambda: spark.range(9)).count() == 3
+    assert time.monotonic() - began < 30
+    assert load(store, "t", lambda: "v2", lambda: spark.range(9)).count() == 9
